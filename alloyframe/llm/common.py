@@ -135,3 +135,16 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             break
         last = now
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
+
+
+def class_sample(rows: DataFrame, label: str, most: int, key: str = "doc_id") -> DataFrame:
+    """(key, label) of about `most` rows of each label at most, by a hash of the key; all rows of rarer labels.
+
+    Only the two columns are read, and counted by label; the number of labels is what the driver gathers.
+    """
+    rows = rows.select(key, label).where(F.col(label).isNotNull() & F.col(key).isNotNull())
+    shares = [(r[0], min(1.0, most / r[1])) for r in rows.groupBy(label).count().collect()]
+    if not shares:
+        return rows.limit(0)
+    limits = F.create_map(*[x for k, v in shares for x in (F.lit(k), F.lit(round(v * 1_000_000)))])
+    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) < limits[F.col(label)])

@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloyframe.llm import bpe_prefix, golay_simhash, license_diagonals, line_frequency, token_rollups, zip_warc
-from alloyframe.llm.common import scratch, table
+from alloyframe.llm import bpe_prefix, golay_simhash, language_mixture, license_diagonals, line_frequency, token_rollups, toxicity_cnn, zip_warc
+from alloyframe.llm.common import held_out, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = language_mixture.train(docs.where(~out))
+    return language_mixture.predict(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op2_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five batches over all documents: two tokenizer versions in, one revised, copies deleted; two come twice."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
@@ -101,6 +108,10 @@ def op8_bpe_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_prefix.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_cnn.train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_words"]
     return line_frequency.line_rules(table(spark, sf_dir, "documents")).select(names)
@@ -141,11 +152,13 @@ FROM every
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_language_mixture": op1_language_mixture,
         "op2_token_rollups": op2_token_rollups,
         "op4_zip_archives": op4_zip_archives,
         "op5_golay_simhash": op5_golay_simhash,
         "op7_license_diagonals": op7_license_diagonals,
         "op8_bpe_prefix": op8_bpe_prefix,
+        "op9_toxicity_cnn": op9_toxicity_cnn,
         "op10_line_frequency": op10_line_frequency,
     }
 
