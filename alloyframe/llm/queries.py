@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloyframe.llm import bpe_prefix, golay_simhash, language_mixture, license_diagonals, line_frequency, token_rollups, toxicity_cnn, zip_warc
+from alloyframe.llm import bpe_prefix, decontamination, golay_simhash, language_mixture, license_diagonals, line_frequency, token_rollups, toxicity_cnn, zip_warc
 from alloyframe.llm.common import held_out, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_
 """
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "item_id", "score", "first_word", "last_word")
+
+
 def op4_zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = zip_warc.archive_pages(table(spark, sf_dir, "pages"))
     return got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -154,6 +159,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_mixture": op1_language_mixture,
         "op2_token_rollups": op2_token_rollups,
+        "op3_decontamination": op3_decontamination,
         "op4_zip_archives": op4_zip_archives,
         "op5_golay_simhash": op5_golay_simhash,
         "op7_license_diagonals": op7_license_diagonals,
