@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alloyframe.llm import bpe_prefix, decontamination, golay_simhash, language_mixture, license_diagonals, line_frequency, token_rollups, toxicity_cnn, zip_warc
+from alloyframe.llm import bpe_prefix, decontamination, golay_simhash, language_mixture, license_diagonals, line_frequency, prefix_free_dedup, token_rollups, toxicity_cnn, zip_warc
 from alloyframe.llm.common import held_out, scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,10 @@ def op5_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_prefix_free_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_free_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_diagonals.license_labels(table(spark, sf_dir, "documents"))
 
@@ -162,6 +166,7 @@ def queries() -> dict[str, Query]:
         "op3_decontamination": op3_decontamination,
         "op4_zip_archives": op4_zip_archives,
         "op5_golay_simhash": op5_golay_simhash,
+        "op6_prefix_free_dedup": op6_prefix_free_dedup,
         "op7_license_diagonals": op7_license_diagonals,
         "op8_bpe_prefix": op8_bpe_prefix,
         "op9_toxicity_cnn": op9_toxicity_cnn,
