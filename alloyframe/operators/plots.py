@@ -28,5 +28,5 @@ def extract_plots(pages: DataFrame, blocks: DataFrame, only_plots: bool = False)
     best = best_plot(tried.select("doc_id", F.struct("page", "caption_id", "text").alias("caption_id"), "ord", F.col("c.area").alias("area"), "accepted", F.struct("box", "png").alias("box")))
     plots = best.select("doc_id", F.col("caption_id.page").alias("page"), F.col("caption_id.caption_id").alias("n"), F.col("caption_id.text").alias("caption"), F.col("box.png").alias("png"), (F.col("box.box.x1") - F.col("box.box.x0")).alias("w"), (F.col("box.box.y1") - F.col("box.box.y0")).alias("h"))
     plots = plots.withColumn("png", P.crop(F.col("png"), B.trimmed(F.col("w"), F.col("h"))))
-    hashed = plots.withColumn("dhash", B.difference_bits(P.thumbnail_levels(F.col("png")), 9)).withColumn("ord", F.col("page") * 1_000_000 + F.col("n"))
+    hashed = plots.withColumn("levels", P.thumbnail_levels(F.col("png"))).withColumn("dhash", B.difference_bits(F.col("levels"), 9)).withColumn("ord", F.col("page") * 1_000_000 + F.col("n"))
     return first_of_equal_hashes(hashed).select("doc_id", "caption", "page", "dhash", "png", "filename", "saved")
