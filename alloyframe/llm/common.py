@@ -92,7 +92,7 @@ def utf8(column: pa.Array) -> list[bytes]:
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, root): the smallest node that each node of an edge reaches, itself included.
+    """(node, root): the smallest node that each node of an edge reaches; a root itself has no row.
 
     Alternating large-star and small-star steps over a two-column table of longs, each written to the
     shared folder; a step moves an edge once, so a node with many neighbours makes no more rows than it has

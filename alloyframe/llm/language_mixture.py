@@ -149,7 +149,7 @@ def train(docs: DataFrame, lang: str = "lang", most: int = TRAIN_DOCS) -> Langua
         for name in sorted(set(names)):
             n = np.bincount(trigrams([t for k, t in zip(names, texts, strict=True) if k == name])[0], minlength=1 << BITS)
             at = np.flatnonzero(n)
-            out.append((pa.array([name] * len(at)), pa.array(at), pa.array(n[at])))
+            out.append((pa.array([name] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(n[at], pa.int64())))
         return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*out, strict=True)], names=["lang", "bucket", "n"])
 
     summed = map_slices(rows, count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()

@@ -28,7 +28,9 @@ STEMS = (1 << SHIFT) - 1
 TRAIN_DOCS = 3000
 #: Documents that must hold a row's words for the row to be trained; others stay zero.
 LEAST_DOCS = 3
-EPOCHS, BATCH_WORDS, RATE, SEED = 12, 20_000, 0.01, 7
+EPOCHS, BATCH_WORDS, BATCH_DOCS, RATE, SEED = 12, 20_000, 32, 0.01, 7
+#: Steps that training takes at least: few documents are gone through more often.
+LEAST_STEPS = 600
 #: Labelled documents of a language, and of its rarer class, that a threshold of its own takes.
 LEAST_OF_LANGUAGE, LEAST_OF_CLASS = 100, 20
 #: Words of a long text that are held at a time; neighbouring blocks overlap by the widest filter.
@@ -95,11 +97,11 @@ class ToxicityModel:
 
 
 def _batches(texts: list[np.ndarray], order: np.ndarray):
-    """Indices of texts of like length, about BATCH_WORDS padded words together."""
+    """Indices of texts of like length, BATCH_DOCS of them or about BATCH_WORDS padded words together."""
     batch, longest = [], 0
     for i in order:
         longest_now = max(longest, len(texts[i]))
-        if batch and longest_now * (len(batch) + 1) > BATCH_WORDS:
+        if batch and (len(batch) == BATCH_DOCS or longest_now * (len(batch) + 1) > BATCH_WORDS):
             yield batch
             batch, longest_now = [], len(texts[i])
         batch, longest = [*batch, i], longest_now
@@ -127,7 +129,9 @@ def fit(texts: list[np.ndarray], label: np.ndarray, epochs: int = EPOCHS, seed:
     seen = np.full(2 * ROWS, 1e-3, np.float32)
     bias_state, step = [0.0, 0.0], 0
     size = np.array([len(t) for t in texts])
-    for _ in range(epochs):
+    epoch = 0
+    while epoch < epochs or step < LEAST_STEPS:
+        epoch += 1
         noisy = size * rng.uniform(0.8, 1.25, len(texts))
         groups = list(_batches(texts, np.argsort(noisy)))
         for g in rng.permutation(len(groups)):
