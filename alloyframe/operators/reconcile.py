@@ -15,10 +15,16 @@ from alloyframe.plugins import Vectorizer, Verifier
 from alloyframe.sources.extractors import embed
 from alloyframe.sources.tables import template_columns
 
+#: Template rows that are broadcast at most; a longer template is dealt over the partitions.
+MOST_TEMPLATE_ROWS = 100_000
 OUTPUT = ("Matched Property", "Value", "Unit", "English", "Comments")
 MOST_CANDIDATES = 5
 
 
+def _small(template: DataFrame) -> DataFrame:
+    return F.broadcast(template) if template.count() <= MOST_TEMPLATE_ROWS else template
+
+
 def template_rows(template: DataFrame) -> DataFrame:
     """(tpl_row, tpl_section, tpl_property) of a template with `_ord`; without a section column it is null."""
     section, prop = template_columns([c for c in template.columns if c != "_ord"])
@@ -27,7 +33,7 @@ def template_rows(template: DataFrame) -> DataFrame:
 
 def for_every_table(template: DataFrame, materials: DataFrame) -> DataFrame:
     """The template's rows for every material table; a template is a sheet, and the names are a list of tables."""
-    return materials.select("material_table").distinct().crossJoin(F.broadcast(template))
+    return materials.select("material_table").distinct().crossJoin(_small(template))
 
 
 def exact_matches(wanted: DataFrame, materials: DataFrame) -> DataFrame:
@@ -87,4 +93,4 @@ def reconcile(template: DataFrame, materials: DataFrame, vectorizer: Vectorizer,
     both = exact.where("found is not null").unionByName(open_rows.join(similar, ["material_table", "tpl_row"], "left"))
     cols = [F.col(f"found.{c}").alias(n) for c, n in zip(("property_name", "value", "unit", "english", "comments"), OUTPUT, strict=True)]
     extra = template.withColumnRenamed("_ord", "tpl_row")
-    return both.select("material_table", "tpl_row", *cols).join(F.broadcast(extra), "tpl_row")
+    return both.select("material_table", "tpl_row", *cols).join(_small(extra), "tpl_row")

@@ -74,7 +74,9 @@ def nearest(queries: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
 def retrieve(query: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
     """The items nearest to a query, without their embeddings, in order."""
     found = nearest(query, items, k)
-    return items.drop("embedding").join(F.broadcast(found), "id").orderBy("query_id", "rank")
+    if query.count() <= MOST_QUERIES:  # k rows for each
+        found = F.broadcast(found)
+    return items.drop("embedding").join(found, "id").orderBy("query_id", "rank")
 
 
 def answer(prompt: str, matched: DataFrame, generator: Generator) -> str:

@@ -251,24 +251,26 @@ def template_exact(spark, sf_dir):
 
 
 @_query("""WITH p AS (SELECT a.vec_id AS tpl_row, b.vec_id AS id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS sim
-  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id != b.vec_id WHERE a.vec_id < 20),
+  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id != b.vec_id WHERE a.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY tpl_row ORDER BY round(sim, 9) DESC, id) AS rank FROM p)
 SELECT tpl_row, arg_min(id, rank) AS id, round(max(sim), 6) AS sim FROM r WHERE rank <= 5 AND sim >= 0.2 GROUP BY tpl_row""")
 def template_semantic(spark, sf_dir):
-    """The nearest vector of the same label among five, if it is like enough; the first twenty vectors ask."""
+    """The nearest vector of the same label among five, if it is like enough; every vector whose id 50 divides asks."""
     e = _t(spark, sf_dir, "embeddings")
-    asks = e.where("vec_id < 20").select(F.col("vec_id").alias("tpl_row"), F.col("label").alias("l"), F.col("embedding").alias("a"))
-    pairs = F.broadcast(asks).join(e, (F.col("l") == F.col("label")) & (F.col("tpl_row") != F.col("vec_id"))).select("tpl_row", F.col("vec_id").alias("id"), vectors.cosine(F.col("a"), F.col("embedding")).alias("sim"))
+    asks = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("tpl_row"), F.col("label").alias("l"), F.col("embedding").alias("a"))
+    pairs = asks.join(e, (F.col("l") == F.col("label")) & (F.col("tpl_row") != F.col("vec_id"))).select("tpl_row", F.col("vec_id").alias("id"), vectors.cosine(F.col("a"), F.col("embedding")).alias("sim"))
     rank = F.row_number().over(W.partitionBy("tpl_row").orderBy(F.desc(F.round("sim", 9)), "id"))
     best = pairs.withColumn("rank", rank).where("rank <= 5 and sim >= 0.2")
     return best.groupBy("tpl_row").agg(F.min_by("id", "rank").alias("id"), F.round(F.max("sim"), 6).alias("sim"))
 
 
-@_query("""SELECT id, d2, row_number() OVER (ORDER BY d2, id) AS rank FROM (SELECT vec_id AS id, round(pow(list_distance(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 2), 6) AS d2 FROM embeddings) ORDER BY d2, id LIMIT 5""")
+@_query("""WITH d AS (SELECT q.vec_id AS query_id, e.vec_id AS id, pow(list_distance(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 2) AS d2 FROM embeddings q, embeddings e WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d2, id) AS rank FROM d) SELECT query_id, id, round(d2, 6) AS d2, rank FROM r WHERE rank <= 5""")
 def knn_l2(spark, sf_dir):
+    """The five nearest of every vector whose id 50 divides, among all vectors."""
     e = _t(spark, sf_dir, "embeddings")
-    asks = e.where("vec_id = 0").select(F.col("vec_id").alias("query_id"), "embedding")
-    return retrieve.nearest(asks, e.select(F.col("vec_id").alias("id"), "embedding")).select("id", F.round("d2", 6).alias("d2"), "rank")
+    asks = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    return retrieve.nearest(asks, e.select(F.col("vec_id").alias("id"), "embedding")).select("query_id", "id", F.round("d2", 6).alias("d2"), "rank")
 
 
 @_query("SELECT count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'error') AS error, count(*) FILTER (event_type = 'purchase') AS purchase FROM events")
@@ -309,12 +311,12 @@ def file_stem(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", text.file_stem(F.col("url")).alias("paper_id"))
 
 
-@_query("""WITH i AS (SELECT source, doc_id FROM documents WHERE source != 'src3' AND doc_id % 5 != 0) SELECT source AS caption, count(*) AS images, min(doc_id) AS first_image FROM i GROUP BY source""")
+@_query("""WITH i AS (SELECT source, doc_id FROM documents WHERE source != 'src3' AND n_chars >= 300) SELECT source AS caption, count(*) AS images, min(doc_id) AS first_image FROM i GROUP BY source""")
 def tombstone_remove(spark, sf_dir):
-    """Figures by source without the one of src3 and without every fifth image."""
+    """Figures by source without the one of src3 and without images of less than 300 characters."""
     docs = _t(spark, sf_dir, "documents")
-    images = docs.select(F.lit("d").alias("doc_id"), F.lit(1).alias("page"), F.col("doc_id").alias("ord"), F.col("source").alias("caption"), F.col("doc_id").cast("string").alias("filename"), F.lit(None).cast("binary").alias("bytes"))
-    gone = images.where("ord % 5 = 0").select("doc_id", "caption", "filename").unionAll(images.where("caption = 'src3'").select("doc_id", "caption", F.lit(None).cast("string")).distinct())
+    images = docs.select(F.lit("d").alias("doc_id"), F.col("n_chars").alias("page"), F.col("doc_id").alias("ord"), F.col("source").alias("caption"), F.col("doc_id").cast("string").alias("filename"), F.lit(None).cast("binary").alias("bytes"))
+    gone = images.where("page < 300").select("doc_id", "caption", "filename").unionAll(images.where("caption = 'src3'").select("doc_id", "caption", F.lit(None).cast("string")).distinct())
     left = ingest.without_removed(figures.grouped_figures(images), gone)
     return left.select("caption", F.size("image_data").cast("long").alias("images"), F.array_min(F.transform("image_data", lambda i: i["filename"].cast("long"))).alias("first_image"))
 
