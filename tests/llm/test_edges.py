@@ -151,3 +151,17 @@ def test_components(spark):
     got = dict(map(tuple, components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()))
     assert {got[i] for i in (3, 4, 5)} == {2} and got[9] == 8 and not {2, 7, 8} & set(got) and {got[i] for i in range(100, 150)} == {99} and {got[i] for i in range(201, 231)} == {200}
     assert components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_pipeline_stages(spark, docs, empty):
+    import corpus_pipeline
+
+    data = "/root/testdata/sf0.001"
+    for start in (docs, empty):
+        kept = start
+        for _, function in corpus_pipeline.STAGES[:-1]:
+            kept = function(spark, kept, data).cache()
+            assert kept.columns == docs.columns
+        ids = sorted(r.doc_id for r in kept.where("doc_id is not null").collect())
+        assert ids == ([] if start is empty else ids) and corpus_pipeline.STAGES[-1][1](spark, kept, data).count() == kept.count()
+    assert {r.doc_id for r in corpus_pipeline.quality(spark, docs, data).collect()} >= {None} and 1 not in {r.doc_id for r in corpus_pipeline.quality(spark, docs, data).collect()}
