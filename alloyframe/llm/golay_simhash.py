@@ -31,6 +31,8 @@ SEED, SHINGLE, BITS = 42, 4, 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Generator polynomial x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 of the (23, 12) code.
 GENERATOR = 0b110001110101
+#: Fingerprints whose keys one task makes, about.
+KEYED = 20_000
 #: Groups of a bucket up to this size are compared by offsets, larger ones breadth first.
 SMALL = 8
 
@@ -194,7 +196,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     marked = stage(fingerprints(docs), "fingerprints")
     nodes = stage(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    rows = nodes.select("fp").mapInArrow(_key_rows, "key long, fp long")
+    # a fingerprint makes some 180 rows, so that few files of fingerprints are many tasks' work
+    spread = nodes.select("fp").repartition(max(docs.sparkSession.sparkContext.defaultParallelism, nodes.count() // KEYED))
+    rows = spread.mapInArrow(_key_rows, "key long, fp long")
     found = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_link_rows, "a long, b long")
     roots = stage(components(found, "a", "b"), "roots")
     if roots.isEmpty():
