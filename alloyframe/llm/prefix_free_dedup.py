@@ -13,9 +13,11 @@ dictionary of distinct phrases, not byte by byte:
 2. parse: a phrase that stands in an earlier document is covered whole; others stay with their first document, and
    are the dictionary;
 3. dictionary: phrases that share 35 bytes on one side of their trigger with another phrase of the dictionary;
-4. the suffixes of those, in the order of their first 50 bytes: each one's first document.
+4. the suffixes of those, of which each slice makes a suffix array as far as 50 bytes: each one's first document.
 
-Order here is by 64-bit hashes of 50 bytes, since only which suffixes are equal, and not which is smaller, decides.
+Within a slice suffixes are ordered by their bytes; between slices, and for whole phrases, equal ones are found by
+64-bit hashes, since only which are equal, and not which is smaller, decides there. Phrases overlap by one byte less
+than the least length, so the order of the parse beyond a phrase never decides about a suffix.
 
 Texts are packed into slices of some MB that are written once, bucketed by slice. In each step a slice sends its
 distinct keys, sorted and packed, to hash buckets; a bucket answers one bit for each key; and the answers join the
@@ -39,8 +41,8 @@ from alloyframe.llm.common import scratch, slices, stage
 
 LEAST, GRAM, SIDE, REACH = 50, 20, 35, 15
 #: Bytes of text in a slice, and of all texts for each hash bucket.
-SLICE, BUCKET = 8 << 20, 16 << 20
-#: Bytes of text that are hashed at a time, for the processor's cache; a longer document is hashed whole.
+SLICE, BUCKET = 4 << 20, 16 << 20
+#: Bytes of text that are hashed at a time, for the processor's cache.
 CHUNK = 1 << 18
 
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -117,8 +119,8 @@ class Request:
         return out
 
     def _edges(self, bits: int) -> np.ndarray:
-        tops = (np.arange((1 << bits) + 1, dtype=object) << (64 - bits)).tolist()
-        return np.concatenate([np.searchsorted(self.keys, np.array(tops[:-1], np.uint64)), [len(self.keys)]])
+        tops = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        return np.concatenate([np.searchsorted(self.keys, tops), [len(self.keys)]])
 
     def answered(self, bits: int, answers: dict[int, bytes]) -> np.ndarray:
         """The bit of each key."""
@@ -171,23 +173,26 @@ class Slice:
         self.h50 = np.zeros(len(self.body), np.uint64)
         parts, i = [], 0
         while i < len(self.sizes):
-            j = max(i + 1, int(np.searchsorted(self.ends, (self.ends[i - 1] if i else 0) + CHUNK, side="right")))
-            parts.append(self._parse(i, j))
+            begin = int(self.ends[i - 1]) if i else 0
+            j = max(i + 1, int(np.searchsorted(self.ends, begin + CHUNK, side="right")))
+            end = int(self.ends[j - 1])
+            # a long document is hashed in parts that share 49 bytes; a phrase that is cut there is two phrases
+            parts += [self._parse(i, j, a, min(end, a + CHUNK + LEAST - 1)) for a in range(begin, max(begin + 1, end - LEAST + 1), CHUNK)] if j == i + 1 else [self._parse(i, j, begin, end)]
             i = j
         kinds = (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64, np.uint64)
         self.at, self.first, self.last, self.gram, self.phrase, self.left, self.right = (np.concatenate([np.zeros(0, t), *x]) for t, x in zip(kinds, zip(*[p for p in parts if p], strict=True) if any(parts) else [()] * 7, strict=True))
         self.doc = self.ids[np.searchsorted(self.ends, self.at, side="right")]
 
-    def _parse(self, i: int, j: int) -> tuple | None:
-        """Triggers, first and last stretch of each phrase, and hashes, of documents i to j."""
-        base = self.ends[i - 1] if i else 0
-        data = self.body[base : self.ends[j - 1]]
+    def _parse(self, i: int, j: int, base: int, stop: int) -> tuple | None:
+        """Triggers, first and last stretch of each phrase, and hashes, of these bytes, which are of documents i to j."""
+        data = self.body[base:stop]
         if len(data) < LEAST:
             return None
         h20, h35, h50 = stretch_hashes(data)
         self.h50[base : base + len(h50)] = h50
         place = np.arange(len(h50))
-        ok = place + LEAST <= np.repeat(self.ends[i:j] - base, self.sizes[i:j])[: len(h50)]
+        ends = np.minimum(self.ends[i:j], stop) - base
+        ok = place + LEAST <= np.repeat(ends, np.diff(np.concatenate([[0], ends])))[: len(h50)]
         stretch = place[ok]
         if not len(stretch):
             return None
@@ -226,13 +231,44 @@ class Slice:
         s = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[run]
         asked = (both[0, run] & (at[run] - s >= REACH)) | (both[1, run] & (at[run] - s <= REACH))
         s, who = s[asked], doc[run][asked]
-        r = Request.of(self.h50[s], who)
+        r = self._suffixes(s, who)
         if step == 4:
             return r
         hit = r.answered(self.bits, answers.get(4, {}))[r.entry] | (who > r.least[r.entry])
         self.covered.append((s[hit], s[hit]))
         return r
 
+    def _word(self, s: np.ndarray, at: int) -> np.ndarray:
+        """The eight bytes at this offset of each suffix as a number that orders as they do."""
+        out = np.zeros(len(s), np.uint64)
+        for k in range(8):
+            out = out << np.uint64(8) | self.body[s + (at + k)]
+        return out
+
+    def _suffixes(self, s: np.ndarray, who: np.ndarray) -> Request:
+        """The suffix array of the dictionary's phrases, as far as the least length, and its classes of equal ones.
+
+        It is sorted by eight bytes at a time from the last to the first. Phrases overlap, so that no suffix of the
+        least length reaches beyond its phrase, and the parse never decides the order.
+        """
+        offsets = [*range(0, LEAST - 8, 8), LEAST - 8]
+        order = np.arange(len(s))
+        for at in reversed(offsets):
+            order = order[np.argsort(self._word(s[order], at), kind="stable")]
+        new = np.zeros(len(s), bool)
+        new[:1] = True
+        for at in offsets:
+            word = self._word(s[order], at)
+            new[1:] |= word[1:] != word[:-1]
+        group = np.empty(len(s), np.int64)
+        group[order] = np.cumsum(new) - 1
+        classes = Request.of(group.astype(np.uint64), who)
+        keys = self.h50[s[order[np.flatnonzero(new)]]]
+        by_key = np.argsort(keys, kind="stable")
+        place = np.empty(len(keys), np.int64)
+        place[by_key] = np.arange(len(keys))
+        return Request(keys[by_key], place[group], classes.least[by_key], classes.many[by_key])
+
     def kept(self, answers: dict[int, dict[int, bytes]]) -> np.ndarray:
         """Which bytes stay."""
         self.ask(answers, 5)
@@ -240,7 +276,7 @@ class Slice:
         for first, last in self.covered:
             np.add.at(step, first, 1)
             np.add.at(step, last + LEAST, -1)
-        return np.cumsum(step[:-1]) == 0
+        return np.cumsum(step[:-1], dtype=np.int32) == 0
 
 
 def pack(docs: DataFrame) -> DataFrame:
@@ -345,7 +381,7 @@ class Corpus:
                 yield out()
 
         sent = self.joined().select("slice", "ids", "sizes", "body", "answers").mapInArrow(ask, "bucket int, slice long, blob binary")
-        told = stage(sent.repartition(1 << bits, "bucket").sortWithinPartitions("bucket").mapInArrow(answer, "slice long, step int, bucket int, bits binary"), "answers")
+        told = stage(sent.repartitionById(1 << bits, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(answer, "slice long, step int, bucket int, bits binary"), "answers")
         self.answers = told if self.answers is None else self.answers.unionAll(told)
 
     def result(self, text: bool) -> DataFrame:

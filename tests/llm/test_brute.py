@@ -277,3 +277,46 @@ def test_pipeline(spark):
     assert {r.doc_id: r.n_tokens for r in last} == {i: len(enc.encode_ordinary(t)) for i, t in own.items()}
     assert {r.doc_id for r in corpus_pipeline.run(spark, DATA).collect()} == set(own)
     assert kept.where(F.length("text") != F.col("n_chars")).count() == 0
+
+
+def answered_in_memory(rows, n_slices):
+    """The steps over slices in this process, as the buckets would answer them; which bytes go, by document."""
+    groups = [rows[k::n_slices] for k in range(n_slices)]
+    own = [prefix_free_dedup.Slice(np.frombuffer(b"".join(t for _, t in g), np.uint8), np.array([len(t) for _, t in g], np.int64), np.array([i for i, _ in g], np.int64), 3) for g in groups]
+    answers = [{} for _ in own]
+    for step, wide in ((1, False), (2, True), (3, False), (4, True)):
+        buckets = {}
+        for k, s in enumerate(own):
+            for b, blob in s.ask(answers[k], step).blobs(3, wide):
+                buckets.setdefault(b, []).append((k, blob))
+        for b, sent in buckets.items():
+            for (k, _), bits in zip(sent, prefix_free_dedup.bucket_answers([x for _, x in sent], wide), strict=True):
+                answers[k].setdefault(step, {})[b] = bits
+    out = {}
+    for k, s in enumerate(own):
+        stay, at = s.kept(answers[k]), 0
+        for i, t in groups[k]:
+            kept = bytes(x for x, y in zip(t, stay[at : at + len(t)], strict=True) if y)
+            out[i] = (len(t), len(t) - len(kept), hashlib.sha256(kept).hexdigest())
+            at += len(t)
+    return out
+
+
+def test_repeats_when_documents_are_cut(monkeypatch):
+    r = random.Random(1)
+    for chunk in (60, 100, 300, 1 << 18):
+        monkeypatch.setattr(prefix_free_dedup, "CHUNK", chunk)
+        for _ in range(6):
+            parts = ["".join(r.choice("abcd") for _ in range(r.choice((20, 49, 50, 51, 90, 300)))).encode() for _ in range(12)]
+            rows = [(i, b"".join(r.choice(parts) if r.random() < 0.7 else bytes(r.choices(b"abcd", k=r.randint(0, 120))) for _ in range(r.randint(0, 12)))) for i in range(25)]
+            r.shuffle(rows)
+            assert answered_in_memory(rows, 3) == {i: (n, gone, kept) for i, (n, gone, _, kept) in plain_repeats(rows).items()}
+
+
+def test_suffix_array_of_a_slice():
+    data = np.frombuffer(bytes(random.Random(2).choices(b"ab", k=400)) + b"ab" * 100, np.uint8)
+    s = prefix_free_dedup.Slice(data, np.array([len(data)], np.int64), np.array([7], np.int64), 2)
+    at = np.arange(len(data) - 49)
+    got = s._suffixes(at, np.full(len(at), 7))
+    strings = [data[i : i + 50].tobytes() for i in at]
+    assert len(got.keys) == len(set(strings)) and all((got.entry[i] == got.entry[j]) == (strings[i] == strings[j]) for i in range(0, len(at), 7) for j in range(len(at)))
