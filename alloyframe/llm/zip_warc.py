@@ -33,6 +33,8 @@ WARC_MEMBER, INDEX_MEMBER = "archive/data.warc.gz", "indexes/index.cdxj"
 PACKAGE_BYTES = 256 << 20
 #: Bytes that one range read covers at most, unless a single record is longer.
 RANGE_BYTES = 4 << 20
+#: Ranges that one task reads, about, once there are enough of them for all cores.
+TASK_RANGES = 16
 
 
 # --- ZIP -------------------------------------------------------------------------------------------------------
@@ -296,4 +298,5 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     folder = scratch(pages.sparkSession, "packages")
     packages = write_packages(with_revisits(pages.where("page_id is not null"), least_bytes), folder)
     ranges = stage(list_ranges(packages), "ranges")
-    return read_ranges(ranges.repartition(F.col("path"), F.col("start")))
+    n = ranges.count()
+    return read_ranges(ranges.repartition(max(1, min(n, max(pages.sparkSession.sparkContext.defaultParallelism, n // TASK_RANGES)))))
