@@ -1,9 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-The word trigrams of the test items are counted over all documents. Of every few neighbouring trigrams of an item
-the one in the fewest documents is a seed, so that each run of words that an item and a text share, and that is long
-enough, holds a seed, however common the words are. Documents give the regions around places that may be seeds, a
-join on the seed's hash names the items, and each region and item are aligned word by word.
+Every word trigram of a test item is a seed, so that a copy is looked at if three words in a row are left as they
+were. Rarity does not choose among them: an edit makes rare trigrams out of the broken ones, and copies make the
+intact ones common. Documents give the regions around places that may be seeds, a join on the seed's hash names the
+items, and each region and item are aligned word by word, unless too few of the item's words stand in the region for
+any alignment to reach the least score.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from alloyframe.llm.common import map_slices, maybe_broadcast, stage, utf8
@@ -23,7 +23,7 @@ _MARKS = bytes(b" "[0] if chr(i) in " \t\n\r\x0b\x0c!\"#$%&'()*+,-./:;<=>?@[\\]^
 #: Words whose hash a worker remembers.
 CACHED_WORDS = 1_000_000
 #: Bits of the filter that tells which places may be seeds; at most 32 MB, however many seeds there are.
-LEAST_BITS, MOST_BITS = 20, 25
+LEAST_BITS, MOST_BITS = 23, 25
 
 
 @dataclass(frozen=True)
@@ -35,8 +35,6 @@ class Alignment:
     mismatch: int = -1
     gap: int = -1
     least: float = 0.5
-    #: Of so many neighbouring trigrams of an item the rarest is a seed.
-    window: int = 4
 
 
 class WordHashes(dict):
@@ -89,16 +87,14 @@ def item_words(benchmark: DataFrame) -> DataFrame:
 
 
 def item_grams(items: DataFrame) -> DataFrame:
-    """(item_id, at, h) of every trigram of the items."""
+    """(item_id, h) of the trigrams of the items."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        got = [trigram_hashes(np.array(x, np.int64)) for x in batch.column("words").to_pylist()]
-        n = [len(x) for x in got]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(batch.column("item_id").to_numpy(zero_copy_only=False), n), pa.int64()), pa.array(np.concatenate([np.arange(k) for k in n]), pa.int32()), pa.array(np.concatenate(got), pa.int64())], names=["item_id", "at", "h"]
-        )
+        got = [np.unique(trigram_hashes(np.array(x, np.int64))) for x in batch.column("words").to_pylist()]
+        ids = np.repeat(batch.column("item_id").to_numpy(zero_copy_only=False), [len(x) for x in got])
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.concatenate(got), pa.int64())], names=["item_id", "h"])
 
-    return map_slices(items, run, "item_id long, at int, h long")
+    return map_slices(items, run, "item_id long, h long").distinct()
 
 
 def _filter(grams: DataFrame) -> np.ndarray:
@@ -126,33 +122,6 @@ class _Maybe:
         return _Maybe, (self.shared,)
 
 
-def count_grams(docs: DataFrame, grams: DataFrame) -> DataFrame:
-    """(h, n): how many documents hold each of the trigrams; those in none are left out."""
-    maybe = _Maybe(docs.sparkSession.sparkContext.broadcast(_filter(grams)))
-    known = WordHashes()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [np.zeros(0, np.int64)]
-        for text in utf8(batch.column("text")):
-            h = trigram_hashes(known.of(text))
-            found.append(np.unique(h[maybe(h)]))
-        h, n = np.unique(np.concatenate(found), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n, pa.int64())], names=["h", "n"])
-
-    counted = map_slices(docs.select("text"), run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return counted.join(grams.select("h").distinct(), "h", "left_semi")
-
-
-def pick_seeds(grams: DataFrame, counts: DataFrame, how: Alignment) -> DataFrame:
-    """(item_id, at, h) of the trigram in the fewest documents of every few neighbours."""
-    by = W.partitionBy("item_id").orderBy("at")
-    near = by.rowsBetween(0, how.window - 1)
-    full = grams.join(counts, "h", "left").select("item_id", "at", "h", F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "at").alias("rank"))
-    # a window that the end of the item cuts short is part of one before it, unless the item is no longer
-    low = full.withColumn("low", F.min("rank").over(near)).withColumn("left", F.count("*").over(near)).withColumn("no", F.row_number().over(by))
-    return low.where((F.col("left") == how.window) | (F.col("no") == 1)).select("item_id", F.col("low.at").alias("at"), F.col("low.h").alias("h")).distinct()
-
-
 def regions(docs: DataFrame, seeds: DataFrame, reach: int) -> DataFrame:
     """(doc_id, words, h, p): stretches of documents with places that may be seeds, and so many words to either side.
 
@@ -183,12 +152,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Alignment = Alignme
     """(doc_id, item_id, score, first_word, last_word): items that a document holds, exactly or edited.
 
     The score is the share of the item's full alignment score; a pair appears once, with its best region. Items of
-    fewer than three words have no trigram and give no row; null texts and null ids give none; repeated rows and
+    fewer than three words have no trigram and give no row, nor does a copy without three words of it in a row; null texts and null ids give none; repeated rows and
     repeated items count once; other columns are not read; empty tables give an empty result. Texts are read whole.
     """
     items = stage(item_words(benchmark), "items")
-    grams = stage(item_grams(items), "grams")
-    seeds = stage(pick_seeds(grams, count_grams(docs, grams), how), "seeds")
+    seeds = stage(item_grams(items), "seeds")
     longest = items.agg(F.coalesce(F.max(F.size("words")), F.lit(0))).first()[0]
     reach = longest + longest // 4 + 1
     found = stage(regions(docs, seeds, reach).withColumn("rid", F.monotonically_increasing_id()), "regions")
@@ -206,6 +174,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Alignment = Alignme
             side = len(item) + len(item) // 4 + 1
             left = max(0, low - side)
             words = words[left : high + 3 + side]
+            if np.isin(item, words).sum() < how.least * len(item):
+                continue
             best, end = align(item, words, how)
             score = best / (how.match * len(item))
             if score >= how.least:

@@ -182,6 +182,19 @@ def test_planted_passages(spark):
     assert all(95 <= x.first_word <= 105 and 130 <= x.last_word <= 145 for x in found) and all(x.score == 1 for x in found if x.doc_id % 8)
 
 
+def test_copies_with_regular_edits(spark):
+    item = [f"w{chr(97 + k)}" for k in range(20)]
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    edited = {every: ["around", "it", *(f"x{every}y{k}" if k % every == every - 1 else w for k, w in enumerate(item)), "and", "after"] for every in (4, 5, 6)}
+    common = [(1000 + i, " ".join(["common", *item[k : k + 3], "words"])) for i, k in enumerate([0, 8, 17] * 20)]
+    for more in ([], [(100, " ".join(item))], [(100 + i, " ".join(item)) for i in range(50)], common):
+        for some in ([4], [5], [6], [4, 5, 6]):
+            docs = spark.createDataFrame([(k, " ".join(edited[k])) for k in some] + more, "doc_id long, text string")
+            got = {r.doc_id: r.score for r in decontamination.contaminated(docs, items).collect()}
+            assert set(got) == {*some, *(i for i, _ in more if i < 1000)}
+            assert all(got[k] >= 0.65 for k in some)
+
+
 def test_alignment_against_a_plain_table():
     r, how = np.random.default_rng(1), decontamination.Alignment()
     for _ in range(30):
