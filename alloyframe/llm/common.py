@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows of a key-only table that may be broadcast; 16 bytes each, so 32 MB at most.
 BROADCAST_ROWS = 2_000_000
@@ -74,7 +75,7 @@ def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterat
             yield batch.slice(at, step)
 
 
-def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """mapInArrow over small slices; fn may keep state for a worker's task in its closure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

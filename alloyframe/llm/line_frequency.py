@@ -14,14 +14,16 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alloyframe.llm.common import drop_staged, map_slices, maybe_broadcast, stage, utf8
+from alloyframe.llm.common import map_slices, maybe_broadcast, stage, utf8
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 DIGITS = bytes.maketrans(b"123456789", b"000000000")
+#: Lines in documents that lose them, of 16 bytes, up to which their table is broadcast.
+CUT_LINES = 500_000
 
 
 @dataclass(frozen=True)
@@ -87,21 +89,25 @@ def _measure(batch: pa.RecordBatch) -> pa.RecordBatch:
         out["line_words"].append(list(own.values()))
     kinds = {"content": pa.binary(), "line": pa.list_(pa.binary()), "line_words": pa.list_(pa.int64())}
     return pa.RecordBatch.from_arrays(
-        [batch.column(k) for k in ("rid", "doc_id", "host")] + [pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()],
-        names=["rid", "doc_id", "host", *out],
+        [batch.column(k) for k in ("rid", "doc_id", "host", "other")] + [pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()],
+        names=["rid", "doc_id", "host", "other", *out],
     )
 
 
-def line_rules(docs: DataFrame, host: str = "source", rules: LineRules = LineRules()) -> DataFrame:
-    """Per row of docs: doc_id, counts, base_failed, lost_words, kept.
+def _host(host: str) -> Column:
+    return F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host")
 
-    Reads doc_id, text and the host column only, so other columns cannot clash. A null text has no words and
-    fails the base rules; a null host is one host of its own; repeated rows are judged each for itself and count
-    as one content; an empty table gives an empty result. Texts are measured whole.
-    """
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), "text")
+
+def _other(rows: DataFrame) -> DataFrame:
+    """With the column other, which tells apart rows that have no doc_id."""
+    return rows.withColumn("other", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+
+
+def _judged(docs: DataFrame, host: str, rules: LineRules) -> tuple[DataFrame, DataFrame]:
+    """The columns of line_rules by row, and (host, doc_id, other, line) of the lines that go."""
+    rows = _other(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", _host(host), "text"))
     seen = stage(
-        map_slices(rows, _measure, "rid long, doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content binary, line array<binary>, line_words array<long>"),
+        map_slices(rows, _measure, "rid long, doc_id long, host string, other long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content binary, line array<binary>, line_words array<long>"),
         "lines",
     )
     contents = seen.groupBy("host", "content").agg(F.min("doc_id").alias("doc_id"), F.first("line").alias("line"))
@@ -111,22 +117,55 @@ def line_rules(docs: DataFrame, host: str = "source", rules: LineRules = LineRul
         held.where(F.col("n") > rules.max_contents).join(hosts, "host").where(F.col("n") * rules.host_share > F.col("of")).select("host", "line", "first_doc"),
         "frequent",
     )
-    places = seen.select("rid", "doc_id", "host", F.explode(F.arrays_zip("line", "line_words")).alias("x")).select("rid", "doc_id", "host", "x.line", "x.line_words")
-    lost = (
-        places.join(maybe_broadcast(frequent, 200_000), ["host", "line"])
-        .where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-        .groupBy("rid").agg(F.sum("line_words").alias("lost_words"))
-    )
+    places = seen.select("rid", "doc_id", "host", "other", F.explode(F.arrays_zip("line", "line_words")).alias("x")).select("rid", "doc_id", "host", "other", "x.line", "x.line_words")
+    gone = places.join(maybe_broadcast(frequent, 200_000), ["host", "line"]).where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    lost = gone.groupBy("rid").agg(F.sum("line_words").alias("lost_words"))
     bad = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
-    return (
-        seen.drop("content", "line", "line_words", "host").join(lost, "rid", "left").drop("rid")
+    judged = (
+        seen.drop("content", "line", "line_words", "host", "other").join(lost, "rid", "left").drop("rid")
         .withColumn("lost_words", F.coalesce("lost_words", F.lit(0).cast("long")))
         .withColumn("base_failed", bad)
         .withColumn("kept", ~bad & (100 * F.col("lost_words") <= rules.max_lost_percent * F.col("n_words")))
     )
+    return judged, gone.select("host", "doc_id", "other", "line")
+
+
+def line_rules(docs: DataFrame, host: str = "source", rules: LineRules = LineRules()) -> DataFrame:
+    """Per row of docs: doc_id, counts, base_failed, lost_words, kept.
+
+    Reads doc_id, text and the host column only, so other columns cannot clash. A null text has no words and
+    fails the base rules; a null host is one host of its own; repeated rows are judged each for itself and count
+    as one content; an empty table gives an empty result. Texts are measured whole.
+    """
+    return _judged(docs, host, rules)[0]
+
+
+def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+    out = []
+    for text, lines in zip(utf8(batch.column("text")), batch.column("cut").to_pylist(), strict=True):
+        gone = set(lines)
+        out.append(b"\n".join(x for x in text.split(b"\n") if not x.split(None, 1) or xxhash.xxh3_128_digest(normal_line(x)) not in gone))
+    at = batch.schema.get_field_index("text")
+    return batch.set_column(at, "text", pa.array(out, pa.binary()).cast(pa.string())).drop_columns(["cut"])
 
 
 def keep_documents(docs: DataFrame, host: str = "source", rules: LineRules = LineRules()) -> DataFrame:
-    """The rows of docs that the rules keep, unchanged. Rows that share a doc_id stand or fall together."""
-    gone = stage(line_rules(docs, host, rules).where("not kept and doc_id is not null").select("doc_id").distinct(), "rejected")
-    return docs.join(maybe_broadcast(gone), "doc_id", "left_anti").select(docs.columns)
+    """The rows of docs that the rules keep, less the lines above the limit, with n_chars brought up to date.
+
+    A line stays in the first of its documents. Rows that share a doc_id stand or fall together; rows without one
+    stay, less those lines. Rows that lose nothing are unchanged.
+    """
+    judged, lines = _judged(docs, host, rules)
+    gone = stage(judged.where("not kept and doc_id is not null").select("doc_id").distinct(), "rejected")
+    # which lines a row loses follows from its host and doc_id, so that rows which share them may share the list
+    cut = stage(lines.join(maybe_broadcast(gone), "doc_id", "left_anti").groupBy("host", "doc_id", "other").agg(F.collect_set("line").alias("cut")), "cut")
+    small = (cut.agg(F.sum(F.size("cut") + 1)).first()[0] or 0) <= CUT_LINES
+    cut = (F.broadcast(cut) if small else cut).select(*(F.col(k).alias(f"_{k}") for k in ("host", "doc_id", "other")), F.col("cut").alias("_cut"))
+    kept = docs.join(maybe_broadcast(gone), "doc_id", "left_anti").select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), "doc_id", _host(host), "text")
+    on = F.col("host").eqNullSafe(F.col("_host")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("other").eqNullSafe(F.col("_other"))
+    both = stage(_other(kept).join(cut, on, "left").select("row", F.col("_cut").alias("cut")), "kept")
+    same = both.where("cut is null").select("row.*")
+    less = map_slices(both.where("cut is not null").select("row.*", "cut"), _cut, docs.schema)
+    if "n_chars" in docs.columns:
+        less = less.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return same.unionByName(less.select(docs.columns))

@@ -4,8 +4,8 @@ Each stage is a function (spark, docs, sf_dir) to a DataFrame and works on all t
 the last return the columns of documents, and pass on further columns as they are.
 
 Null and empty texts fail the base rules and go in the first stage. Rows that share a doc_id stand or fall together.
-Rows without a doc_id cannot be named by a decision and so stay in every stage, less the passages that documents with
-an id have. Repeated rows stay repeated; an empty table gives an empty result; texts of any length are read whole.
+Rows without a doc_id cannot be named by a decision and so stay in every stage, less frequent lines and the passages
+that documents with an id have. Repeated rows stay repeated; an empty table gives an empty result; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from alloyframe.llm.common import stage, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the line-frequency rule reject go."""
+    """Documents that the base rules or the line-frequency rule reject go, and frequent lines from the text of the rest."""
     return line_frequency.keep_documents(docs)
 
 
