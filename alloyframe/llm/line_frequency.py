@@ -28,10 +28,8 @@ CUT_LINES = 500_000
 
 @dataclass(frozen=True)
 class LineRules:
-    #: A line is frequent when more contents of its host hold it ...
+    #: A line is frequent when more contents of its host hold it, however many contents the host has.
     max_contents: int = 20
-    #: ... and more than one in this many of the host's contents.
-    host_share: int = 500
     #: A document is depleted when frequent lines held more than this share of its words, in percent.
     max_lost_percent: int = 50
     #: Base rules: too few words, or too many repeated words in percent.
@@ -112,11 +110,7 @@ def _judged(docs: DataFrame, host: str, rules: LineRules) -> tuple[DataFrame, Da
     )
     contents = seen.groupBy("host", "content").agg(F.min("doc_id").alias("doc_id"), F.first("line").alias("line"))
     held = contents.select("host", "doc_id", F.explode("line").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
-    hosts = seen.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("of"))
-    frequent = stage(
-        held.where(F.col("n") > rules.max_contents).join(hosts, "host").where(F.col("n") * rules.host_share > F.col("of")).select("host", "line", "first_doc"),
-        "frequent",
-    )
+    frequent = stage(held.where(F.col("n") > rules.max_contents).select("host", "line", "first_doc"), "frequent")
     places = seen.select("rid", "doc_id", "host", "other", F.explode(F.arrays_zip("line", "line_words")).alias("x")).select("rid", "doc_id", "host", "other", "x.line", "x.line_words")
     gone = places.join(maybe_broadcast(frequent, 200_000), ["host", "line"]).where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
     lost = gone.groupBy("rid").agg(F.sum("line_words").alias("lost_words"))

@@ -60,6 +60,15 @@ def test_frequent_lines_go(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_frequent_lines_of_a_large_host(spark):
+    name = lambda n: "".join(chr(97 + int(c)) for c in str(n))  # noqa: E731  digits would be normalised
+    shared = "the same line " + " ".join(f"s{name(j)}" for j in range(97))
+    held = [(i, " ".join(f"w{name(i)}x{name(j)}" for j in range(60)) + "\n" + shared) for i in range(21)]
+    docs = spark.createDataFrame([(i, t, "h") for i, t in held + [(100 + i, f"clean {name(i)}") for i in range(10_600)]], "doc_id long, text string, source string")
+    got = by_id(line_frequency.line_rules(docs).where("doc_id < 100"))
+    assert {i for i in got if got[i].kept} == {0} and {got[i].lost_words for i in range(1, 21)} == {100}
+
+
 def test_repeat_words():
     def plain(words):
         seen = {}
