@@ -1,8 +1,8 @@
 """Quality rules: cross-document line frequency.
 
 Lines are normalised (ASCII lower case, digits as 0, one space between words) and hashed to 128 bits. For each
-host the distinct document contents that hold a line are counted; a content that is repeated whole counts once,
-so copies do not make their own lines frequent. A line in more contents of a host than the limit goes from all
+host the distinct document contents that hold a line are counted; a text that is repeated byte for byte counts once,
+so copies do not make their own lines frequent, while texts that differ in digits, case or spacing each count. A line in more contents of a host than the limit goes from all
 documents but the first of them (smallest doc_id), and a document that loses too large a share of its words is
 rejected as depleted.
 """
@@ -72,17 +72,15 @@ def _measure(batch: pa.RecordBatch) -> pa.RecordBatch:
         bare = text.translate(None, SPACE)
         lines = [x for x in text.split(b"\n") if x.split(None, 1)]
         own: dict[bytes, int] = {}
-        every = xxhash.xxh3_128()
         for x in lines:
             k = xxhash.xxh3_128_digest(normal_line(x))
-            every.update(k)
             own[k] = own.get(k, 0) + len(x.split())
         out["n_words"].append(len(words))
         out["word_chars"].append(len(bare.decode("utf-8", "replace")))
         out["n_symbols"].append(len(bare) - len(bare.translate(None, SYMBOLS)))
         out["n_dup_lines"].append(len(lines) - len(set(lines)))
         out["n_repeat_words"].append(repeat_words(words))
-        out["content"].append(every.digest())
+        out["content"].append(xxhash.xxh3_128_digest(text))
         out["line"].append(list(own))
         out["line_words"].append(list(own.values()))
     kinds = {"content": pa.binary(), "line": pa.list_(pa.binary()), "line_words": pa.list_(pa.int64())}

@@ -69,6 +69,14 @@ def test_frequent_lines_of_a_large_host(spark):
     assert {i for i in got if got[i].kept} == {0} and {got[i].lost_words for i in range(1, 21)} == {100}
 
 
+def test_stubs_of_a_template_count_each(spark):
+    name = lambda n: "".join(chr(97 + int(c)) for c in str(n))  # noqa: E731  digits would be normalised
+    stub = " ".join(f"s{name(j)}" for j in range(100))
+    docs = spark.createDataFrame([(i, f"{stub}\nNumber {10 + i}", "digits") for i in range(25)] + [(100 + i, stub + " " * i, "spaces") for i in range(25)] + [(200, stub, "copies")] * 25, "doc_id long, text string, source string")
+    got = line_frequency.line_rules(docs)
+    assert {r.doc_id for r in got.where("kept").collect()} == {0, 100, 200}
+
+
 def test_repeat_words():
     def plain(words):
         seen = {}
