@@ -27,8 +27,8 @@ TRAIN_DOCS = 4000
 SMOOTH = 0.05
 #: Rounds of expectation maximisation.
 ROUNDS = 8
-#: Factor of the penalty, and the languages that a document has at most.
-PENALTY, MOST = 2.0, 3
+#: Factor of the penalty.
+PENALTY = 2.0
 UNKNOWN = "und"
 
 
@@ -120,7 +120,7 @@ def mixtures(scores: np.ndarray, n: np.ndarray) -> np.ndarray:
     full, _ = _em(like, n, np.full((len(n), k), 1 / k, np.float32), ROUNDS)
     order = np.argsort(-full, axis=1, kind="stable")
     penalty = PENALTY * 0.5 * np.log(np.maximum(n, 2))
-    for size in range(2, min(MOST, k) + 1):
+    for size in range(2, k + 1):
         # no set of this size can win if the best word by word does not
         hope = np.flatnonzero(-penalty * (size - 1) > value)
         hope = hope[full[hope, order[hope, size - 1]] * n[hope] > 0.5]

@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing extra columns."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +159,16 @@ def test_languages(docs, empty):
     assert none.names == () and {r.lang_pred for r in language_mixture.predict(docs, none).collect()} == {"und"}
 
 
+def test_mixture_of_many(spark):
+    r = random.Random(2)
+    letters = ["abcdef", "ghijkl", "mnopqr", "stuvwx", "yzäöüß"]
+    words = lambda k, n: " ".join("".join(r.choice(letters[k]) for _ in range(5)) for _ in range(n))
+    model = language_mixture.train(spark.createDataFrame([(k, words(k, 3000), f"l{k}") for k in range(5)], "doc_id long, text string, lang string"))
+    docs = spark.createDataFrame([(n, " ".join(words(k, 60) for k in range(n))) for n in range(1, 6)], "doc_id long, text string")
+    got = by_id(language_mixture.predict(docs, model))
+    assert all(set(got[n].mixture) == {f"l{k}" for k in range(n)} and max(abs(p - 1 / n) for p in got[n].mixture.values()) < 0.05 for n in got)
+
+
 def test_toxicity(spark, docs, empty):
     labels = spark.createDataFrame([(4, 1, 0), (5, 0, 0), (6, 0, 0), (7, None, 0), (None, 1, 0), (4, 0, 0), (99, 1, 0)], "doc_id long, toxic int, text int")
     for some in (labels, labels.limit(0), labels.where("toxic = 0")):
