@@ -144,8 +144,8 @@ def class_sample(rows: DataFrame, label: str, most: int, key: str = "doc_id") ->
     Only the two columns are read, and counted by label; the number of labels is what the driver gathers.
     """
     rows = rows.select(key, label).where(F.col(label).isNotNull() & F.col(key).isNotNull())
-    shares = [(r[0], min(1.0, most / r[1])) for r in rows.groupBy(label).count().collect()]
-    if not shares:
+    last = [(r[0], (min(most, r[1]) << 63) // r[1] - 1) for r in rows.groupBy(label).count().collect()]
+    if not last:
         return rows.limit(0)
-    limits = F.create_map(*[x for k, v in shares for x in (F.lit(k), F.lit(round(v * 1_000_000)))])
-    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) < limits[F.col(label)])
+    limits = F.create_map(*[x for k, v in last for x in (F.lit(k), F.lit(v).cast("long"))])
+    return rows.where(F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 1) <= limits[F.col(label)])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from alloyframe.llm import (
     bpe_prefix, decontamination, golay_simhash, language_mixture, license_diagonals, line_frequency, prefix_free_dedup, token_rollups, toxicity_cnn, zip_warc,
 )
-from alloyframe.llm.common import components, scratch
+from alloyframe.llm.common import class_sample, components, scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, key string, label string, words int, slice int, fp string, rid long"
 LONG = "lorem ipsum dolor sit amet " * 20_000
@@ -187,6 +187,12 @@ def test_archives(spark):
     assert zip_warc.archive_pages(pages.limit(0)).count() == 0
 
 
+def test_sample_of_a_large_class(spark):
+    got = class_sample(spark.range(10_000_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3, "rare").otherwise("large").alias("label")), "label", 4)
+    n = {r[0]: r[1] for r in got.groupBy("label").count().collect()}
+    assert n["rare"] == 3 and 1 <= n.get("large", 0) <= 12
+
+
 def test_components(spark):
     pairs = [(5, 4), (4, 3), (3, 2), (9, 8), (7, 7), (5, 4), *((100 + i, 99) for i in range(50)), *((200 + i, 201 + i) for i in range(30))]
     got = dict(map(tuple, components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect()))
