@@ -43,12 +43,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(df: DataFrame) -> None:
-    """Delete a staged table that no later plan reads."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file.rsplit("/", 1)[0])
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def drop_staged(*tables: DataFrame) -> None:
+    """Delete staged tables that no later plan reads."""
+    for df in tables:
+        for file in df.inputFiles()[:1]:
+            drop_path(df.sparkSession, file.rsplit("/", 1)[0])
 
 
 def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -129,8 +134,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         )
         new = stage(small, "cc")
         now = tuple(new.select(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
-        for old in (e, low, large, small_low):
-            drop_staged(old)
+        drop_staged(e, low, large, small_low)
         e = new
         if now == last:
             break

@@ -3,26 +3,28 @@
 A byte string of the least length (50) is a repeat if it also starts in a document with a smaller doc_id, and every
 byte that a repeat covers goes.
 
-A trigger is the place of the smallest rolling hash (of 20 bytes) in some stretch of the least length, so that every
-such stretch holds the trigger that it chose, and equal stretches choose alike. A phrase is all the stretches that
-chose one trigger, taken together; neighbouring phrases overlap by 49 bytes. So a text is a parse: a row of phrases,
-and equal passages have equal phrases but for the first and last. The corpus is ordered by the parse and by the
-dictionary of distinct phrases, not byte by byte:
-
-1. triggers: only a trigger that stands in two documents can be part of a repeat;
-2. parse: a phrase that stands in an earlier document is covered whole; others stay with their first document, and
-   are the dictionary;
-3. dictionary: phrases that share 35 bytes on one side of their trigger with another phrase of the dictionary;
-4. the suffixes of those, of which each slice makes a suffix array as far as 50 bytes: each one's first document.
-
-Within a slice suffixes are ordered by their bytes; between slices, and for whole phrases, equal ones are found by
-64-bit hashes, since only which are equal, and not which is smaller, decides there. Phrases overlap by one byte less
-than the least length, so the order of the parse beyond a phrase never decides about a suffix.
-
-Texts are packed into slices of some MB that are written once, bucketed by slice. In each step a slice sends its
-distinct keys, sorted and packed, to hash buckets; a bucket answers one bit for each key; and the answers join the
-slices where they are. A key that a third of the documents share is one entry of each slice, so no task grows with
-it.
+Parse. A trigger is the place of the smallest rolling hash (of 20 bytes) in some string of the least length, the first
+of equal ones, so that each such string has one trigger, within it, that only its own bytes decide. A phrase is all
+the strings that have one trigger, taken together: some bytes to the left, the 20 bytes of the trigger, some bytes to
+the right. A text is a row of phrases, and equal passages have equal phrases but for the first and the last.
+
+Corpus order. Two strings are equal only if their triggers are, so the order is made trigger by trigger:
+
+1. triggers: only phrases whose trigger stands in two documents are looked at further;
+2. these phrases go, each distinct one of a slice once, with all their bytes, to the bucket of their trigger, where
+   they are the corpus's dictionary for it. What leads up to a trigger is ordered as the dictionary's suffixes, from
+   the trigger backwards; what follows it as the parse continues. Each order comes with the lengths that neighbours
+   have in common, so that for a string of k bytes to the left of its trigger, a class of the first order at depth k
+   and one of the second at depth 50 - k together name the run of equal strings in the corpus. The first document
+   of a run keeps the string.
+
+Equality is by bytes. A trigger with very many phrases (a line in a large part of all documents, with other text
+around it) would make one bucket's dictionary grow with the corpus: its strings go one by one instead, each distinct
+one of a slice once, to buckets of their own 128-bit hash.
+
+Texts are packed into slices of some MB that are parsed and written once, bucketed by slice. A slice sends its keys,
+sorted and packed, to buckets, a bucket answers for each key, and the answers join the slices where they are. A key
+that a third of the documents share is one entry of each slice, so no task grows with it.
 """
 
 from __future__ import annotations
@@ -30,22 +32,33 @@ from __future__ import annotations
 import hashlib
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from alloyframe.llm.common import scratch, slices, stage
-
-LEAST, GRAM, SIDE, REACH = 50, 20, 35, 15
-#: Bytes of text in a slice, and of all texts for each hash bucket.
-SLICE, BUCKET = 4 << 20, 16 << 20
+from pyspark.sql import types as T
+
+from alloyframe.llm.common import drop_path, drop_staged, scratch, slices, stage
+
+LEAST, GRAM = 50, 20
+#: Bytes of a phrase on either side of its trigger, at most.
+SIDE = LEAST - GRAM
+#: Bytes of text in a slice, of all texts for each hash bucket, and for each task that reads slices.
+SLICE, BUCKET, TASK = 4 << 20, 16 << 20, 64 << 20
+#: Hash buckets at most, as a power of two; beyond it buckets grow.
+MOST_BITS = 18
+#: Places of a trigger in the corpus from which its strings go one by one; a slice counts 127 at most.
+HOT = 50_000
 #: Bytes of text that are hashed at a time, for the processor's cache.
 CHUNK = 1 << 18
+#: Zero bytes around gathered text, so that words may be read beyond its ends.
+MARGIN = 64
 
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+#: Offsets of the eight-byte words that cover a string of the least length.
+WORDS = (*range(0, LEAST - 8, 8), LEAST - 8)
 
 
 def _mix(v: np.ndarray) -> np.ndarray:
@@ -55,23 +68,39 @@ def _mix(v: np.ndarray) -> np.ndarray:
     return v
 
 
-def _two(x: np.ndarray, apart: int) -> np.ndarray:
-    """Hashes of strings that are longer by so much, from those of their beginnings and ends."""
-    return _mix(x[:-apart] * B + x[apart:] * C)
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of what a and b are hashes of, one after the other."""
+    return _mix(a * B + b * C)
+
+
+def word_view(data: np.ndarray, order: str = "<") -> np.ndarray:
+    """The eight bytes from each place on as a number, without a copy."""
+    return np.ndarray((max(0, len(data) - 7),), f"{order}u8", data, strides=(1,))
+
+
+def gram_hashes(data: np.ndarray) -> np.ndarray:
+    """Hash of the 20 bytes from each place on."""
+    h8 = _mix(np.ascontiguousarray(word_view(data)) * A)
+    h16 = _pair(h8[:-8], h8[8:])
+    return _pair(h16[:-4], h16[4:])
 
 
-def stretch_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the 20, 35 and 50 bytes from each place on; data is at least 50 bytes long."""
-    g = data.astype(np.uint64)
-    for k in (1, 2, 4):
-        g = g[:-k] | g[k:] << np.uint64(8 * k)
-    h16 = _two(_mix(g * A), 8)
-    h32 = _two(h16, 16)
-    return _two(h16, 4), _two(h32, 3), _two(h32, 18)
+def gram_hashes_at(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The same, of some places only."""
+    a, b, c, d = (_mix(words[at + k] * A) for k in (0, 4, 8, 12))
+    return _pair(_pair(a, c), _pair(b, d))
+
+
+def string_hashes_at(words: np.ndarray, at: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of the 50 bytes from each of these places on."""
+    h = np.full(len(at), seed, np.uint64)
+    for k in WORDS:
+        h = _pair(h, words[at + k])
+    return h
 
 
 def triggers(h: np.ndarray, width: int) -> np.ndarray:
-    """For each stretch the place of the smallest hash in it, the first of equal ones."""
+    """For each stretch of so many hashes the place of the smallest one, the first of equal ones."""
     m = (h & ~np.uint64(0xFFFFFFFF)) | np.arange(len(h), dtype=np.uint64)
     size = 1
     while size * 2 <= width:
@@ -82,251 +111,375 @@ def triggers(h: np.ndarray, width: int) -> np.ndarray:
     return (m & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
+def _starts(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal sorted keys begins."""
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return np.flatnonzero(new)
+
+
 @dataclass
-class Request:
-    """Distinct keys of a slice in order, and for each entry which key it has."""
+class Classes:
+    """Distinct keys in order, and for each entry which key it has."""
 
     keys: np.ndarray
     entry: np.ndarray
-    least: np.ndarray  # smallest of what came with each key
-    many: np.ndarray  # whether more than one came with it
+    least: np.ndarray  # smallest document of each key
+    some: np.ndarray  # an entry of each key
+    count: np.ndarray
+    many: np.ndarray  # whether entries of more than one document have the key
 
     @staticmethod
-    def of(keys: np.ndarray, values: np.ndarray) -> Request:
-        order = np.argsort(keys, kind="stable")
-        k, v = keys[order], values[order]
-        new = np.ones(len(k), bool)
-        new[1:] = k[1:] != k[:-1]
-        start = np.flatnonzero(new)
+    def of(keys: np.ndarray, docs: np.ndarray) -> Classes:
+        order = np.argsort(keys)
+        k, d = keys[order], docs[order]
+        start = _starts(k)
+        count = np.diff(np.append(start, len(k)))
         entry = np.empty(len(k), np.int64)
-        entry[order] = np.cumsum(new) - 1
+        entry[order] = np.repeat(np.arange(len(start)), count)
         if not len(k):
-            return Request(k, entry, v, np.zeros(0, bool))
-        low = np.minimum.reduceat(v, start)
-        return Request(k[start], entry, low, low != np.maximum.reduceat(v, start))
-
-    def blobs(self, bits: int, wide: bool) -> list[tuple[int, bytes]]:
-        """(bucket, packed entries); narrow ones have 48 bits of the key and whether many came with it."""
-        edges = self._edges(bits)
-        out = []
-        for b in np.flatnonzero(np.diff(edges)):
-            own = slice(edges[b], edges[b + 1])
-            if wide:
-                out.append((int(b), self.keys[own].astype("<u8").tobytes() + self.least[own].astype("<i8").tobytes()))
-            else:
-                short = (self.keys[own] << np.uint64(bits) >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                out.append((int(b), np.ascontiguousarray(short).tobytes() + self.many[own].tobytes()))
-        return out
+            return Classes(k, entry, d, entry, count, np.zeros(0, bool))
+        low = np.minimum.reduceat(d, start)
+        return Classes(k[start], entry, low, order[start], count, low != np.maximum.reduceat(d, start))
 
-    def _edges(self, bits: int) -> np.ndarray:
-        tops = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-        return np.concatenate([np.searchsorted(self.keys, tops), [len(self.keys)]])
 
-    def answered(self, bits: int, answers: dict[int, bytes]) -> np.ndarray:
-        """The bit of each key."""
-        edges, out = self._edges(bits), np.zeros(len(self.keys), bool)
-        for b, packed in answers.items():
-            n = edges[b + 1] - edges[b]
-            out[edges[b] : edges[b + 1]] = np.unpackbits(np.frombuffer(packed, np.uint8), count=n).view(bool)
-        return out
+def _exact(keys: np.ndarray, docs: np.ndarray, parts: list[np.ndarray]) -> Classes:
+    """Classes by hashes of strings, told apart by the strings' words where hashes fall together."""
+    while True:
+        got = Classes.of(keys, docs)
+        same = np.ones(len(keys), bool)
+        for p in parts:
+            same &= p == p[got.some][got.entry]
+        if same.all():
+            return got
+        keys = np.where(same, keys, _mix(keys + A))
 
 
-def bucket_answers(blobs: list[bytes], wide: bool) -> list[bytes]:
-    """What a bucket says to each sender: which keys others have too, or (wide) have with something smaller."""
-    keys, values, n = [], [], []
-    for x in blobs:
-        k = len(x) // (16 if wide else 7)
-        n.append(k)
-        if wide:
-            keys.append(np.frombuffer(x, "<u8", k))
-            values.append(np.frombuffer(x, "<i8", k, 8 * k))
-        else:
-            full = np.zeros((k, 8), np.uint8)
-            full[:, :6] = np.frombuffer(x, np.uint8, 6 * k).reshape(k, 6)
-            keys.append(full.view("<u8").ravel())
-            values.append(np.frombuffer(x, bool, k, 6 * k))
-    key, value = np.concatenate(keys), np.concatenate(values)
-    order = np.argsort(key, kind="stable")
-    new = np.ones(len(key), bool)
-    new[1:] = key[order][1:] != key[order][:-1]
-    start, group = np.flatnonzero(new), np.cumsum(new) - 1
-    bit = np.empty(len(key), bool)
-    if wide:
-        bit[order] = np.minimum.reduceat(value[order], start)[group] < value[order]
-    else:
-        bit[order] = ((np.diff(np.append(start, len(key))) > 1) | np.logical_or.reduceat(value[order], start))[group]
-    return [np.packbits(x).tobytes() for x in np.split(bit, np.cumsum(n)[:-1])]
+# --- the parse of a slice --------------------------------------------------------------------------------------
+def parse(body: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each phrase how many strings it has, how far its trigger is from its first, and the trigger's hash.
+
+    Strings are in order, document by document, and every one is in one phrase.
+    """
+    out, ends, i = [], np.cumsum(sizes), 0
+    while i < len(sizes):
+        begin = int(ends[i - 1]) if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, begin + CHUNK, side="right")))
+        end = int(ends[j - 1])
+        # a long document is hashed in parts that share 49 bytes; a phrase that is cut there is two phrases
+        cuts = range(begin, max(begin + 1, end - LEAST + 1), CHUNK) if j == i + 1 else (begin,)
+        for base in cuts:
+            stop = min(end, base + CHUNK + LEAST - 1) if j == i + 1 else end
+            if stop - base >= LEAST:
+                out.append(_parse(body[base:stop], np.minimum(ends[i:j], stop) - base))
+        i = j
+    kinds = (np.uint8, np.uint8, np.uint64)
+    return tuple(np.concatenate([np.zeros(0, t), *(x[c] for x in out)]) for c, t in enumerate(kinds))
+
+
+def _parse(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    h = gram_hashes(data)
+    place = np.arange(len(data) - LEAST + 1)
+    ok = place + LEAST <= np.repeat(ends, np.diff(np.concatenate([[0], ends])))[: len(place)]
+    string, t = place[ok], triggers(h, SIDE + 1)[ok]
+    # equal triggers of two documents are never the same place, so runs of one trigger are phrases
+    start = _starts(t)
+    first, at = string[start], t[start]
+    return np.diff(np.append(start, len(t))).astype(np.uint8), (at - first).astype(np.uint8), h[at]
 
 
 @dataclass
 class Slice:
-    """The parse of some documents, and what the steps have found about it so far."""
+    """Some documents and their parse; first is where each phrase's first string begins."""
 
     body: np.ndarray
     sizes: np.ndarray
     ids: np.ndarray
-    bits: int
-    h50: np.ndarray = field(init=False)
+    count: np.ndarray
+    off: np.ndarray
 
     def __post_init__(self):
+        self.count, self.off = self.count.astype(np.int64), self.off.astype(np.int64)
         self.ends = np.cumsum(self.sizes)
-        self.h50 = np.zeros(len(self.body), np.uint64)
-        parts, i = [], 0
-        while i < len(self.sizes):
-            begin = int(self.ends[i - 1]) if i else 0
-            j = max(i + 1, int(np.searchsorted(self.ends, begin + CHUNK, side="right")))
-            end = int(self.ends[j - 1])
-            # a long document is hashed in parts that share 49 bytes; a phrase that is cut there is two phrases
-            parts += [self._parse(i, j, a, min(end, a + CHUNK + LEAST - 1)) for a in range(begin, max(begin + 1, end - LEAST + 1), CHUNK)] if j == i + 1 else [self._parse(i, j, begin, end)]
-            i = j
-        kinds = (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64, np.uint64)
-        self.at, self.first, self.last, self.gram, self.phrase, self.left, self.right = (np.concatenate([np.zeros(0, t), *x]) for t, x in zip(kinds, zip(*[p for p in parts if p], strict=True) if any(parts) else [()] * 7, strict=True))
-        self.doc = self.ids[np.searchsorted(self.ends, self.at, side="right")]
-
-    def _parse(self, i: int, j: int, base: int, stop: int) -> tuple | None:
-        """Triggers, first and last stretch of each phrase, and hashes, of these bytes, which are of documents i to j."""
-        data = self.body[base:stop]
-        if len(data) < LEAST:
-            return None
-        h20, h35, h50 = stretch_hashes(data)
-        self.h50[base : base + len(h50)] = h50
-        place = np.arange(len(h50))
-        ends = np.minimum(self.ends[i:j], stop) - base
-        ok = place + LEAST <= np.repeat(ends, np.diff(np.concatenate([[0], ends])))[: len(h50)]
-        stretch = place[ok]
-        if not len(stretch):
-            return None
-        t = triggers(h20, LEAST - GRAM + 1)[ok]
-        new = np.ones(len(t), bool)
-        new[1:] = t[1:] != t[:-1]
-        start = np.flatnonzero(new)
-        first, last, at = stretch[start], stretch[np.append(start[1:], len(t)) - 1], t[start]
-        phrase = _mix(h50[first] * B + h50[last] * C + (last - first).astype(np.uint64))
-        left = h35[np.maximum(at - REACH, 0)]
-        right = _mix(h35[np.minimum(at, len(h35) - 1)] + A)
-        return at + base, first + base, last + base, h20[at], phrase, left, right
-
-    # each step: what to ask, then what the answers mean
-    def ask(self, answers: dict[int, dict[int, bytes]], step: int) -> Request:
-        r = Request.of(self.gram, self.doc)
-        if step == 1:
-            return r
-        some = r.answered(self.bits, answers.get(1, {}))[r.entry] | r.many[r.entry]
-        at, first, last, phrase, left, right, doc = (x[some] for x in (self.at, self.first, self.last, self.phrase, self.left, self.right, self.doc))
-        r = Request.of(phrase, doc)
-        if step == 2:
-            return r
-        whole = r.answered(self.bits, answers.get(2, {}))[r.entry] | (doc > r.least[r.entry])
-        self.covered = [(first[whole], last[whole])]
-        at, first, last, phrase, left, right, doc = (x[~whole] for x in (at, first, last, phrase, left, right, doc))
-        on_left, on_right = at - first >= REACH, at - last <= REACH
-        r = Request.of(np.concatenate([left[on_left], right[on_right]]), np.concatenate([phrase[on_left], phrase[on_right]]))
-        if step == 3:
-            return r
-        shared = r.answered(self.bits, answers.get(3, {}))[r.entry] | r.many[r.entry]
-        both = np.zeros((2, len(at)), bool)
-        both[0, on_left], both[1, on_right] = shared[: on_left.sum()], shared[on_left.sum() :]
-        n = np.where(both.any(axis=0), last - first + 1, 0)
-        run = np.repeat(np.arange(len(at)), n)
-        s = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[run]
-        asked = (both[0, run] & (at[run] - s >= REACH)) | (both[1, run] & (at[run] - s <= REACH))
-        s, who = s[asked], doc[run][asked]
-        r = self._suffixes(s, who)
-        if step == 4:
-            return r
-        hit = r.answered(self.bits, answers.get(4, {}))[r.entry] | (who > r.least[r.entry])
-        self.covered.append((s[hit], s[hit]))
-        return r
-
-    def _word(self, s: np.ndarray, at: int) -> np.ndarray:
-        """The eight bytes at this offset of each suffix as a number that orders as they do."""
-        out = np.zeros(len(s), np.uint64)
-        for k in range(8):
-            out = out << np.uint64(8) | self.body[s + (at + k)]
-        return out
-
-    def _suffixes(self, s: np.ndarray, who: np.ndarray) -> Request:
-        """The suffix array of the dictionary's phrases, as far as the least length, and its classes of equal ones.
-
-        It is sorted by eight bytes at a time from the last to the first. Phrases overlap, so that no suffix of the
-        least length reaches beyond its phrase, and the parse never decides the order.
-        """
-        offsets = [*range(0, LEAST - 8, 8), LEAST - 8]
-        order = np.arange(len(s))
-        for at in reversed(offsets):
-            order = order[np.argsort(self._word(s[order], at), kind="stable")]
-        new = np.zeros(len(s), bool)
-        new[:1] = True
-        for at in offsets:
-            word = self._word(s[order], at)
-            new[1:] |= word[1:] != word[:-1]
-        group = np.empty(len(s), np.int64)
-        group[order] = np.cumsum(new) - 1
-        classes = Request.of(group.astype(np.uint64), who)
-        keys = self.h50[s[order[np.flatnonzero(new)]]]
-        by_key = np.argsort(keys, kind="stable")
-        place = np.empty(len(keys), np.int64)
-        place[by_key] = np.arange(len(keys))
-        return Request(keys[by_key], place[group], classes.least[by_key], classes.many[by_key])
-
-    def kept(self, answers: dict[int, dict[int, bytes]]) -> np.ndarray:
+        strings = np.maximum(0, self.sizes - LEAST + 1)
+        before = np.cumsum(strings)  # strings of a document and those before it
+        rank = np.cumsum(self.count) - self.count
+        which = np.searchsorted(before, rank, side="right")
+        self.first = rank - (before - strings)[which] + (self.ends - self.sizes)[which]
+        self.doc = self.ids[which]
+        self.at = self.first + self.off
+        self.words = word_view(self.body)
+
+    def open(self, answers: Answers) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases whose trigger stands in two documents: those of ordinary triggers, and those of hot ones."""
+        r = Classes.of(gram_hashes_at(self.words, self.at), self.doc)
+        shared, hot = answers.triggers(r.keys)
+        some = shared[r.entry]
+        return np.flatnonzero(some & ~hot[r.entry]), np.flatnonzero(some & hot[r.entry])
+
+    def phrases(self, which: np.ndarray) -> Classes:
+        """Classes of equal phrases, in the order of their trigger's hash."""
+        first, last = self.first[which], self.first[which] + self.count[which] - 1
+        parts = [self.count[which], *(self.words[p + k] for p in (first, last) for k in WORDS)]
+        a, b = string_hashes_at(self.words, first), string_hashes_at(self.words, last)
+        got = _exact(_pair(_pair(a, b), self.count[which].astype(np.uint64)), self.doc[which], parts)
+        gram = gram_hashes_at(self.words, self.at[which[got.some]])
+        order = np.lexsort((got.keys, gram))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        return Classes(gram[order], place[got.entry], got.least[order], got.some[order], got.count[order], got.many[order])
+
+    def strings(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, Classes]:
+        """Places and documents of the strings of these phrases, and their classes by the first half of their hash."""
+        n = self.count[which]
+        s = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[which], n)
+        doc = np.repeat(self.doc[which], n)
+        return s, doc, _exact(string_hashes_at(self.words, s), doc, [self.words[s + k] for k in WORDS])
+
+    def asked(self, answers: Answers, bits: int) -> Iterator[tuple[int, int, bytes]]:
+        """(step, bucket, message) of steps 2 and 3."""
+        plain, hot = self.open(answers)
+        r = self.phrases(plain)
+        rep = plain[r.some]
+        for b, own in _buckets(r.keys, bits):
+            yield 2, b, pack_phrases(self.body, self.first[rep[own]], self.count[rep[own]], self.off[rep[own]], r.least[own])
+        s, _, r = self.strings(hot)
+        other = string_hashes_at(self.words, s[r.some], 1)
+        for b, own in _buckets(r.keys, bits):
+            yield 3, b, r.keys[own].astype("<u8").tobytes() + other[own].tobytes() + r.least[own].astype("<i8").tobytes()
+
+    def kept(self, answers: Answers) -> np.ndarray:
         """Which bytes stay."""
-        self.ask(answers, 5)
+        plain, hot = self.open(answers)
+        r = self.phrases(plain)
+        masks = answers.masks(r.keys)[r.entry]
+        masks[self.doc[plain] > r.least[r.entry]] = (1 << (SIDE + 1)) - 1  # a string that a phrase lacks is never looked at
         step = np.zeros(len(self.body) + 1, np.int32)
-        for first, last in self.covered:
-            np.add.at(step, first, 1)
-            np.add.at(step, last + LEAST, -1)
+        gone = []
+        for k in range(SIDE + 1):
+            own = plain[(masks >> np.uint32(k) & np.uint32(1)).astype(bool)]
+            n = self.off[own] - k
+            gone.append((self.at[own] - k)[(n >= 0) & (n < self.count[own])])
+        s, doc, r = self.strings(hot)
+        gone.append(s[answers.repeats(r.keys)[r.entry] | (doc > r.least[r.entry])])
+        s = np.concatenate(gone)
+        step += np.bincount(s, minlength=len(step)).astype(np.int32)
+        step -= np.bincount(s + LEAST, minlength=len(step)).astype(np.int32)
         return np.cumsum(step[:-1], dtype=np.int32) == 0
 
 
-def pack(docs: DataFrame) -> DataFrame:
-    """Slices of documents: (slice, ids, sizes, body, rest); rest holds the other columns in Arrow's stream format."""
+def _edges(keys: np.ndarray, bits: int) -> np.ndarray:
+    tops = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    return np.concatenate([np.searchsorted(keys, tops), [len(keys)]])
+
+
+def _buckets(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
+    """The buckets that have some of the sorted keys, by their highest bits."""
+    edges = _edges(keys, bits)
+    for b in np.flatnonzero(np.diff(edges)):
+        yield int(b), slice(edges[b], edges[b + 1])
+
+
+def trigger_messages(gram: np.ndarray, doc: np.ndarray, bits: int) -> list[tuple[int, bytes]]:
+    """(bucket, message) of step 1: 48 bits of each trigger, whether many documents have it, and how often it stands."""
+    r = Classes.of(gram, doc)
+    out = []
+    for b, own in _buckets(r.keys, bits):
+        short = (r.keys[own] << np.uint64(bits) >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        out.append((b, np.ascontiguousarray(short).tobytes() + (r.many[own] << 7 | np.minimum(r.count[own], 127)).astype(np.uint8).tobytes()))
+    return out
+
+
+@dataclass
+class Answers:
+    """What buckets said to a slice: step to bucket to message."""
+
+    by_step: dict[int, dict[int, bytes]]
+    bits: int
+
+    def _spread(self, step: int, keys: np.ndarray, kind: str, unpack=lambda x, n: x) -> np.ndarray:
+        edges, out = _edges(keys, self.bits), np.zeros(len(keys), kind)
+        for b, packed in self.by_step.get(step, {}).items():
+            out[edges[b] : edges[b + 1]] = unpack(packed, edges[b + 1] - edges[b])
+        return out
+
+    def triggers(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        got = self._spread(1, keys, "u1", lambda x, n: np.frombuffer(x, np.uint8, n))
+        return got > 0, got > 1
+
+    def masks(self, keys: np.ndarray) -> np.ndarray:
+        return self._spread(2, keys, "u4", lambda x, n: np.frombuffer(x, "<u4", n))
+
+    def repeats(self, keys: np.ndarray) -> np.ndarray:
+        return self._spread(3, keys, "?", lambda x, n: np.frombuffer(x, np.bool_, n))
+
+
+# --- what buckets do -------------------------------------------------------------------------------------------
+def answer_triggers(messages: list[bytes], hot: int) -> list[bytes]:
+    """For each key 0 if one document has it, 1 if several have, 2 if it also stands in very many places."""
+    keys, marks, n = [], [], []
+    for x in messages:
+        k = len(x) // 7
+        full = np.zeros((k, 8), np.uint8)
+        full[:, :6] = np.frombuffer(x, np.uint8, 6 * k).reshape(k, 6)
+        keys.append(full.view("<u8").ravel())
+        marks.append(np.frombuffer(x, np.uint8, k, 6 * k))
+        n.append(k)
+    key, mark = np.concatenate(keys), np.concatenate(marks)
+    order = np.argsort(key)
+    start = _starts(key[order])
+    size = np.diff(np.append(start, len(key)))
+    shared = (size > 1) | (np.maximum.reduceat(mark[order], start) > 127)
+    state = np.where(shared, np.where(np.add.reduceat((mark[order] & 127).astype(np.int64), start) > hot, 2, 1), 0).astype(np.uint8)
+    out = np.empty(len(key), np.uint8)
+    out[order] = np.repeat(state, size)
+    return [x.tobytes() for x in np.split(out, np.cumsum(n)[:-1])]
+
+
+def pack_phrases(body: np.ndarray, first: np.ndarray, count: np.ndarray, off: np.ndarray, doc: np.ndarray) -> bytes:
+    n = count + LEAST - 1
+    flat = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+    head = np.array([len(first)], "<u4").tobytes() + doc.astype("<i8").tobytes()
+    return head + count.astype(np.uint8).tobytes() + off.astype(np.uint8).tobytes() + body[flat].tobytes()
+
+
+def _sorted_with_lcp(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of strings of words, and how many bytes each has in common with the one before it."""
+    order = np.lexsort(words[::-1])
+    common, alike = np.zeros(len(order), np.int64), np.ones(len(order), bool)
+    for w in words:
+        x = w[order]
+        x[1:] ^= x[:-1].copy()
+        for b in range(1, 9):  # how many of its highest bytes are equal
+            common += alike & (x < np.uint64(1 << 8 * (8 - b)))
+        alike &= x == 0
+    common[:1] = -1
+    return order, common
+
+
+def answer_phrases(messages: list[bytes]) -> list[bytes]:
+    """For each phrase a bit for each string of it, by the bytes to the left of the trigger: whether another phrase
+    of a smaller document has it."""
+    docs, counts, offs, flat, n = [], [], [], [np.zeros(MARGIN, np.uint8)], []
+    for x in messages:
+        k = int(np.frombuffer(x, "<u4", 1)[0])
+        docs.append(np.frombuffer(x, "<i8", k, 4))
+        counts.append(np.frombuffer(x, np.uint8, k, 4 + 8 * k))
+        offs.append(np.frombuffer(x, np.uint8, k, 4 + 9 * k))
+        flat.append(np.frombuffer(x, np.uint8, offset=4 + 10 * k))
+        n.append(k)
+    doc, count, off = np.concatenate(docs), np.concatenate(counts).astype(np.int64), np.concatenate(offs).astype(np.int64)
+    text = np.concatenate([*flat, np.zeros(MARGIN, np.uint8)])
+    size = count + LEAST - 1
+    at = MARGIN + np.cumsum(size) - size + off  # of the triggers
+    masks = _runs(text, at, off, size - off, doc, off - count + 1)
+    return [x.tobytes() for x in np.split(masks, np.cumsum(n)[:-1])]
+
+
+def _masked(word: np.ndarray, have: np.ndarray) -> np.ndarray:
+    """Words without the bytes, from the lowest on, that a string does not have."""
+    lack = (8 * (8 - np.clip(have, 0, 8))).astype(np.uint64)
+    return np.where(lack == 64, np.uint64(0), word >> np.minimum(lack, 63) << np.minimum(lack, 63))
+
+
+def _runs(text: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray, doc: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """The strings of phrases with triggers at these places that are not of their run's first document, as bits.
+
+    A phrase has so many bytes left of its trigger, and right from its trigger on; its strings begin between least and
+    left bytes before the trigger.
+    """
+    after, before = word_view(text, ">"), word_view(text)
+    follow = [_masked(after[at + 8 * j].astype(np.uint64), right - 8 * j) for j in range(7)]
+    lead = [_masked(before[at - 8 * (j + 1)], left - 8 * j) for j in range(4)]
+    classes = []
+    for words in (lead, follow):
+        order, common = _sorted_with_lcp(words)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        classes.append((place, common))
+    out = np.zeros(len(at), np.uint32)
+    for k in range(SIDE + 1):
+        own = np.flatnonzero((left >= k) & (least <= k))
+        (p, low), (q, high) = classes
+        a, b = (np.cumsum(low < k) - 1)[p[own]], (np.cumsum(high < LEAST - k) - 1)[q[own]]
+        some = (np.bincount(b)[b] > 1) & (np.bincount(a)[a] > 1)  # a class of one phrase has no repeat
+        own, a, b = own[some], a[some], b[some]
+        if not len(own):
+            continue
+        r = Classes.of(a * len(at) + b, doc[own])
+        out[own[doc[own] > r.least[r.entry]]] |= np.uint32(1 << k)
+    return out
+
+
+def answer_strings(messages: list[bytes]) -> list[bytes]:
+    """For each string whether one of a smaller document has the same hash."""
+    n = [len(x) // 24 for x in messages]
+    key, other, doc = (np.concatenate([np.frombuffer(x, t, k, 8 * i * k) for x, k in zip(messages, n, strict=True)]) for i, t in enumerate(("<u8", "<u8", "<i8")))
+    order = np.lexsort((other, key))
+    new = np.ones(len(key), bool)
+    new[1:] = (key[order][1:] != key[order][:-1]) | (other[order][1:] != other[order][:-1])
+    group = np.cumsum(new) - 1
+    out = np.empty(len(key), bool)
+    out[order] = np.minimum.reduceat(doc[order], np.flatnonzero(new))[group] < doc[order]
+    return [x.tobytes() for x in np.split(out, np.cumsum(n)[:-1])]
+
+
+# --- Spark -----------------------------------------------------------------------------------------------------
+MESSAGES = "array<struct<bucket:int,message:binary>>"
+#: A document without an id has no smaller one before it, and comes after all others.
+NO_ID = np.iinfo(np.int64).max
+
+
+def _ids(ids: list) -> np.ndarray:
+    return np.array([NO_ID if x is None else x for x in ids], np.int64)
+
+
+def _one(column: pa.ChunkedArray | pa.Array) -> pa.Array:
+    column = column.combine_chunks()
+    return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+
+
+def pack(docs: DataFrame, bits: int) -> DataFrame:
+    """Slices of documents with their parse and their messages of step 1.
+
+    rest holds the columns other than text in Arrow's stream format.
+    """
     others = [c for c in docs.columns if c != "text"]
 
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        texts = _one(t.column("text").cast(pa.large_binary())).fill_null(b"")
+        raw = b"".join(x.as_py() for x in texts)
+        sizes = np.fromiter((len(x) for x in texts.to_pylist()), np.int64, len(texts))
+        count, off, gram = parse(np.frombuffer(raw, np.uint8), sizes)
+        ids = _one(t.column("doc_id")).to_pylist()
+        strings = np.maximum(0, sizes - LEAST + 1)
+        rank = np.cumsum(count.astype(np.int64)) - count
+        doc = _ids(ids)[np.searchsorted(np.cumsum(strings), rank, side="right")]
+        sent = [{"bucket": b, "message": m} for b, m in trigger_messages(gram, doc, bits)]
+        sink = pa.BufferOutputStream()
+        rest = t.select(others)
+        with pa.ipc.new_stream(sink, rest.schema) as w:
+            w.write_table(rest)
+        row = {
+            "slice": pa.array([uuid.uuid4().int >> 65], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())), "sizes": pa.array([sizes.tolist()], pa.list_(pa.int32())), "body": pa.array([raw], pa.binary()),
+            "count": pa.array([count.tobytes()], pa.binary()), "off": pa.array([off.tobytes()], pa.binary()), "rest": pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+            "sent": pa.array([sent], pa.list_(pa.struct([("bucket", pa.int32()), ("message", pa.binary())]))),
+        }
+        return pa.RecordBatch.from_arrays(list(row.values()), names=list(row))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def emit() -> pa.RecordBatch:
-            t = pa.Table.from_batches(held).combine_chunks()
-            body = t.column("text").cast(pa.large_binary()).combine_chunks().fill_null(b"")
-            body = pa.concat_arrays(body.chunks) if isinstance(body, pa.ChunkedArray) else body
-            raw = b"".join(x.as_py() for x in body)
-            sizes = pa.compute.binary_length(body).cast(pa.int32())
-            sink = pa.BufferOutputStream()
-            rest = t.select(others)
-            with pa.ipc.new_stream(sink, rest.schema) as w:
-                w.write_table(rest)
-            ids = t.column("doc_id").combine_chunks()
-            ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
-            return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([sizes.to_pylist()], pa.list_(pa.int32())), pa.array([raw], pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                names=["slice", "ids", "sizes", "body", "rest"],
-            )
-
-        size = 0
+        held, size = [], 0
         for part in slices(batches, SLICE // 4):
             held.append(part)
             size += part.nbytes
             if size >= SLICE:
-                yield emit()
-                held.clear()
-                size = 0
+                yield packed(held)
+                held, size = [], 0
         if held:
-            yield emit()
-
-    return docs.mapInArrow(run, "slice long, ids array<long>, sizes array<int>, body binary, rest binary")
-
-
-#: A document without an id has no smaller one before it, and comes after all others.
-NO_ID = np.iinfo(np.int64).max
-
+            yield packed(held)
 
-def _read(row: dict, bits: int) -> tuple[Slice, dict[int, dict[int, bytes]]]:
-    answers: dict[int, dict[int, bytes]] = {}
-    for x in row.get("answers") or []:
-        answers.setdefault(x["step"], {})[x["bucket"]] = x["bits"]
-    ids = np.array([NO_ID if x is None else x for x in row["ids"]], np.int64)
-    return Slice(np.frombuffer(row["body"], np.uint8), np.array(row["sizes"], np.int64), ids, bits), answers
+    return docs.mapInArrow(run, f"slice long, ids array<long>, sizes array<int>, body binary, count binary, off binary, rest binary, sent {MESSAGES}")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -335,100 +488,141 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {k: batch.column(k)[i].as_py() for k in batch.schema.names}
 
 
-class Corpus:
-    """The slices of a table of documents, and the answers of the steps."""
-
-    def __init__(self, docs: DataFrame):
-        self.spark = docs.sparkSession
-        name, path = f"slices_{uuid.uuid4().hex}", scratch(self.spark, "slices")
-        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        pack(docs).write.option("path", path).option("compression", "zstd").bucketBy(buckets, "slice").saveAsTable(name)
-        self.slices = self.spark.table(name)
-        size = self.slices.select(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-        self.bits = max(1, min(16, int(size // BUCKET).bit_length()))
-        self.answers: DataFrame | None = None
-
-    def joined(self) -> DataFrame:
-        if self.answers is None:
-            return self.slices.withColumn("answers", F.lit(None).cast("array<struct<step:int,bucket:int,bits:binary>>"))
-        own = self.answers.groupBy("slice").agg(F.collect_list(F.struct("step", "bucket", "bits")).alias("answers"))  # four for each bucket at most
-        return self.slices.join(own.hint("shuffle_hash"), "slice", "left")
-
-    def step(self, number: int, wide: bool) -> None:
-        """Ask the buckets, and keep what they answer."""
-        bits = self.bits
+def _read(row: dict, bits: int) -> tuple[Slice, Answers]:
+    answers = Answers({}, bits)
+    for x in row["answers"] or []:
+        answers.by_step.setdefault(x["step"], {})[x["bucket"]] = x["answer"]
+    byte = lambda k: np.frombuffer(row[k], np.uint8)
+    return Slice(byte("body"), np.array(row["sizes"], np.int64), _ids(row["ids"]), byte("count"), byte("off")), answers
 
-        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for row in _rows(batches):
-                own, answers = _read(row, bits)
-                got = own.ask(answers, number).blobs(bits, wide)
-                yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in got], pa.int32()), pa.array([row["slice"]] * len(got), pa.int64()), pa.array([x for _, x in got], pa.binary())], names=["bucket", "slice", "blob"])
 
-        def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            bucket, held = None, []
+class Corpus:
+    """The slices of a table of documents, in a table of the session's catalog until it is dropped."""
+
+    def __init__(self, docs: DataFrame, hot: int = HOT):
+        self.spark, self.hot, self.name = docs.sparkSession, hot, f"slices_{uuid.uuid4().hex}"
+        self.path = scratch(self.spark, "slices")
+        size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.bits = max(1, min(MOST_BITS, int(size // BUCKET).bit_length()))
+        tables = max(self.spark.sparkContext.defaultParallelism, min(100_000, int(size // TASK) + 1))
+        pack(docs, self.bits).write.option("path", self.path).option("compression", "zstd").bucketBy(tables, "slice").saveAsTable(self.name)
+        self.slices = self.spark.table(self.name)
+        self.rest = docs.drop("text").schema
+        self.told: list[DataFrame] = []
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        drop_path(self.spark, self.path)
+        drop_staged(*self.told)
+
+    def joined(self, *columns: str) -> DataFrame:
+        """The slices with what buckets have told them: for each of three steps an entry for each bucket at most."""
+        told = self.told[0]
+        for more in self.told[1:]:
+            told = told.unionAll(more)
+        own = told.groupBy("slice").agg(F.collect_list(F.struct("step", "bucket", "answer")).alias("answers"))
+        return self.slices.select("slice", *columns).join(own.hint("shuffle_hash"), "slice", "left").select("slice", *columns, "answers")
+
+    def answered(self, sent: DataFrame) -> None:
+        """Let the buckets answer messages (step, bucket, slice, message)."""
+        hot = self.hot
+        how = {1: lambda m: answer_triggers(m, hot), 2: answer_phrases, 3: answer_strings}
 
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> pa.RecordBatch:
-                got = bucket_answers([x for _, x in held], wide)
-                return pa.RecordBatch.from_arrays([pa.array([s for s, _ in held], pa.int64()), pa.array([number] * len(held), pa.int32()), pa.array([bucket] * len(held), pa.int32()), pa.array(got, pa.binary())], names=["slice", "step", "bucket", "bits"])
+                step, bucket = of
+                got = how[step]([m for _, m in held])
+                n = len(held)
+                cols = [pa.array([s for s, _ in held], pa.int64()), pa.array([step] * n, pa.int32()), pa.array([bucket] * n, pa.int32()), pa.array(got, pa.binary())]
+                return pa.RecordBatch.from_arrays(cols, names=["slice", "step", "bucket", "answer"])
 
+            of, held = None, []
             for row in _rows(batches):
-                if held and row["bucket"] != bucket:
+                if held and (row["step"], row["bucket"]) != of:
                     yield out()
-                    held.clear()
-                bucket = row["bucket"]
-                held.append((row["slice"], row["blob"]))
+                    held = []
+                of = row["step"], row["bucket"]
+                held.append((row["slice"], row["message"]))
             if held:
                 yield out()
 
-        sent = self.joined().select("slice", "ids", "sizes", "body", "answers").mapInArrow(ask, "bucket int, slice long, blob binary")
-        told = stage(sent.repartitionById(1 << bits, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(answer, "slice long, step int, bucket int, bits binary"), "answers")
-        self.answers = told if self.answers is None else self.answers.unionAll(told)
+        dealt = sent.repartitionById(1 << self.bits, F.col("bucket")).sortWithinPartitions("step", "bucket")
+        self.told.append(stage(dealt.mapInArrow(run, "slice long, step int, bucket int, answer binary"), "answers"))
+
+    def ask(self) -> None:
+        """The three steps."""
+        bits = self.bits
+        first = self.slices.select("slice", F.explode("sent").alias("m"))
+        self.answered(first.select(F.lit(1).alias("step"), "m.bucket", "slice", "m.message"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in _rows(batches):
+                own, answers = _read(row, bits)
+                got = list(own.asked(answers, bits))
+                cols = [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.int32()), pa.array([row["slice"]] * len(got), pa.int64()), pa.array([x[2] for x in got], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["step", "bucket", "slice", "message"])
+
+        self.answered(self.joined("ids", "sizes", "body", "count", "off").mapInArrow(run, "step int, bucket int, slice long, message binary"))
 
     def result(self, text: bool) -> DataFrame:
-        """The other columns, n_bytes, n_removed, n_spans, kept_sha256, and if asked for the kept bytes as text."""
-        bits, fields = self.bits, self.fields
+        """The other columns as one, n_bytes, n_removed, n_spans, kept_sha256, and if asked for the kept bytes as text."""
+        bits = self.bits
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in _rows(batches):
                 own, answers = _read(row, bits)
                 stay = own.kept(answers)
-                rest = pa.ipc.open_stream(row["rest"]).read_all().combine_chunks()
-                cols: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "text")}
+                rest = pa.ipc.open_stream(row["rest"]).read_all()
+                cols: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text")}
                 for end, n in zip(own.ends.tolist(), own.sizes.tolist(), strict=True):
-                    here = stay[end - n : end]
-                    kept = own.body[end - n : end][here].tobytes()
+                    here, data = stay[end - n : end], own.body[end - n : end]
+                    kept = data.tobytes() if here.all() else data[here].tobytes()
                     cols["n_bytes"].append(n)
                     cols["n_removed"].append(n - len(kept))
-                    cols["n_spans"].append(int((~here[:1]).sum() + (here[:-1] & ~here[1:]).sum()))
+                    cols["n_spans"].append(0 if len(kept) == n else int((~here[:1]).sum() + (here[:-1] & ~here[1:]).sum()))
                     cols["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
-                    cols["text"].append(kept.decode("utf-8", "ignore") if text else None)
+                    cols["kept_text"].append(kept.decode("utf-8", "ignore") if text else None)
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                more = [pa.array(v, t) for (k, v), t in zip(cols.items(), kinds, strict=True) if text or k != "text"]
-                names = [k for k in cols if text or k != "text"]
-                yield from pa.Table.from_arrays([*rest.columns, *more], names=[*rest.schema.names, *names]).to_batches()
+                other = pa.StructArray.from_arrays([_one(c) for c in rest.columns], fields=list(rest.schema))
+                yield pa.RecordBatch.from_arrays([other, *(pa.array(v, t) for v, t in zip(cols.values(), kinds, strict=True))], names=["row", *cols])
+
+        kinds = {"n_bytes": T.LongType(), "n_removed": T.LongType(), "n_spans": T.LongType(), "kept_sha256": T.StringType(), "kept_text": T.StringType()}
+        schema = T.StructType([T.StructField("row", self.rest), *(T.StructField(k, t) for k, t in kinds.items())])
+        return self.joined("ids", "sizes", "body", "count", "off", "rest").drop("slice").mapInArrow(run, schema)
 
-        schema = f"{fields}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * text
-        return self.joined().select("ids", "sizes", "body", "rest", "answers").mapInArrow(run, schema)
 
+MEASURES = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
 
-def remove_repeats(docs: DataFrame, text: bool = False) -> DataFrame:
-    """docs without its text, and for each row n_bytes, n_removed, n_spans and kept_sha256; with text, what is kept.
+
+def measured(docs: DataFrame, text: bool = False, hot: int = HOT) -> DataFrame:
+    """(row, n_bytes, n_removed, n_spans, kept_sha256, kept_text): row holds the columns of docs but for its text.
 
     Every row of docs gives one row. A null text is empty; rows of one doc_id are no repeats of each other; a null
-    doc_id comes after all others. Kept text leaves out the rest of a character that was cut. Texts of any length
-    are read whole (a document stays within a slice). Columns named like the new ones must be dropped before. An
-    empty table gives an empty result.
+    doc_id comes after all others. Kept text leaves out the rest of a character that was cut, and is null unless it
+    is asked for. Texts of any length are read whole (a document stays within a slice). Columns of any name may
+    come with the documents. An empty table gives an empty result. The result is staged, and what led to it is deleted.
+    """
+    corpus = Corpus(docs, hot)
+    try:
+        corpus.ask()
+        return stage(corpus.result(text), "repeats")
+    finally:
+        corpus.drop()
+
+
+def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """For each row of docs its columns but for text, and n_bytes, n_removed, n_spans and kept_sha256.
+
+    A column of docs that is named like one of these four gives way to it. For odd rows see `measured`.
     """
-    corpus = Corpus(docs)
-    corpus.fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    for number, wide in ((1, False), (2, True), (3, False), (4, True)):
-        corpus.step(number, wide)
-    return corpus.result(text)
+    names = [c for c in docs.columns if c != "text" and c not in MEASURES]
+    return measured(docs, hot=hot).select(*(F.col("row").getField(c).alias(c) for c in names), *MEASURES)
 
 
 def keep_rest(docs: DataFrame) -> DataFrame:
     """The rows of docs with their text less repeats and n_chars brought up to date; rows left without text go."""
-    got = remove_repeats(docs, text=True).where("n_removed < n_bytes or n_bytes = 0")
+    got = measured(docs, text=True).where("n_removed < n_bytes or n_bytes = 0")
+    new = {"text": F.col("kept_text")}
     if "n_chars" in docs.columns:
-        got = got.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return got.select(docs.columns)
+        new["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+    return got.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns))

@@ -292,19 +292,34 @@ def test_pipeline(spark):
     assert kept.where(F.length("text") != F.col("n_chars")).count() == 0
 
 
-def answered_in_memory(rows, n_slices):
+def answered_in_memory(rows, n_slices, hot):
     """The steps over slices in this process, as the buckets would answer them; which bytes go, by document."""
+    d, bits, own, answers = prefix_free_dedup, 3, [], []
     groups = [rows[k::n_slices] for k in range(n_slices)]
-    own = [prefix_free_dedup.Slice(np.frombuffer(b"".join(t for _, t in g), np.uint8), np.array([len(t) for _, t in g], np.int64), np.array([i for i, _ in g], np.int64), 3) for g in groups]
-    answers = [{} for _ in own]
-    for step, wide in ((1, False), (2, True), (3, False), (4, True)):
-        buckets = {}
-        for k, s in enumerate(own):
-            for b, blob in s.ask(answers[k], step).blobs(3, wide):
-                buckets.setdefault(b, []).append((k, blob))
-        for b, sent in buckets.items():
-            for (k, _), bits in zip(sent, prefix_free_dedup.bucket_answers([x for _, x in sent], wide), strict=True):
-                answers[k].setdefault(step, {})[b] = bits
+    sent = {}
+    for k, g in enumerate(groups):
+        body, sizes = np.frombuffer(b"".join(t for _, t in g), np.uint8), np.array([len(t) for _, t in g], np.int64)
+        count, off, gram = d.parse(body, sizes)
+        own.append(d.Slice(body, sizes, np.array([i for i, _ in g], np.int64), count, off))
+        answers.append(d.Answers({}, bits))
+        assert (d.gram_hashes_at(own[k].words, own[k].at) == gram).all()
+        for b, message in d.trigger_messages(gram, own[k].doc, bits):
+            sent.setdefault((1, b), []).append((k, message))
+    how = {1: lambda m: d.answer_triggers(m, hot), 2: d.answer_phrases, 3: d.answer_strings}
+
+    def answered():
+        for (step, b), messages in sent.items():
+            for (k, _), got in zip(messages, how[step]([m for _, m in messages]), strict=True):
+                answers[k].by_step.setdefault(step, {})[b] = got
+        sent.clear()
+
+    answered()
+    steps = set()
+    for k, s in enumerate(own):
+        for step, b, message in s.asked(answers[k], bits):
+            sent.setdefault((step, b), []).append((k, message))
+            steps.add(step)
+    answered()
     out = {}
     for k, s in enumerate(own):
         stay, at = s.kept(answers[k]), 0
@@ -312,24 +327,40 @@ def answered_in_memory(rows, n_slices):
             kept = bytes(x for x, y in zip(t, stay[at : at + len(t)], strict=True) if y)
             out[i] = (len(t), len(t) - len(kept), hashlib.sha256(kept).hexdigest())
             at += len(t)
-    return out
+    return out, steps
 
 
 def test_repeats_when_documents_are_cut(monkeypatch):
     r = random.Random(1)
     for chunk in (60, 100, 300, 1 << 18):
         monkeypatch.setattr(prefix_free_dedup, "CHUNK", chunk)
-        for _ in range(6):
-            parts = ["".join(r.choice("abcd") for _ in range(r.choice((20, 49, 50, 51, 90, 300)))).encode() for _ in range(12)]
-            rows = [(i, b"".join(r.choice(parts) if r.random() < 0.7 else bytes(r.choices(b"abcd", k=r.randint(0, 120))) for _ in range(r.randint(0, 12)))) for i in range(25)]
+        for k in range(9):
+            letters = (b"abcd", b"ab", bytes(range(256)))[k % 3]
+            parts = [bytes(r.choices(letters, k=r.choice((20, 49, 50, 51, 90, 300)))) for _ in range(12)]
+            rows = [(i, b"".join(r.choice(parts) if r.random() < 0.7 else bytes(r.choices(letters, k=r.randint(0, 120))) for _ in range(r.randint(0, 12)))) for i in range(25)]
+            rows += [(100 + i, letters[:1] * r.randint(0, 300)) for i in range(4)]
             r.shuffle(rows)
-            assert answered_in_memory(rows, 3) == {i: (n, gone, kept) for i, (n, gone, _, kept) in plain_repeats(rows).items()}
-
-
-def test_suffix_array_of_a_slice():
-    data = np.frombuffer(bytes(random.Random(2).choices(b"ab", k=400)) + b"ab" * 100, np.uint8)
-    s = prefix_free_dedup.Slice(data, np.array([len(data)], np.int64), np.array([7], np.int64), 2)
-    at = np.arange(len(data) - 49)
-    got = s._suffixes(at, np.full(len(at), 7))
-    strings = [data[i : i + 50].tobytes() for i in at]
-    assert len(got.keys) == len(set(strings)) and all((got.entry[i] == got.entry[j]) == (strings[i] == strings[j]) for i in range(0, len(at), 7) for j in range(len(at)))
+            want = {i: (n, gone, kept) for i, (n, gone, _, kept) in plain_repeats(rows).items()}
+            for hot in (0, 20, 50_000):  # every trigger hot, some, none
+                got, steps = answered_in_memory(rows, 3, hot)
+                assert got == want
+                assert steps <= {0: {3}, 20: {2, 3}, 50_000: {2}}[hot]
+
+
+def test_phrases_that_share_a_hash(monkeypatch):
+    """Equality goes by bytes: hashes that say nothing change no result."""
+    monkeypatch.setattr(prefix_free_dedup, "string_hashes_at", lambda words, at, seed=0: np.zeros(len(at), np.uint64))
+    r = random.Random(5)
+    parts = [bytes(r.choices(b"abc", k=r.choice((30, 60, 120)))) for _ in range(6)]
+    rows = [(i, b"".join(r.choices(parts, k=r.randint(0, 4)))) for i in range(15)]
+    assert answered_in_memory(rows, 2, 50_000)[0] == {i: (n, gone, kept) for i, (n, gone, _, kept) in plain_repeats(rows).items()}
+
+
+def test_orders_and_common_lengths():
+    data = bytes(random.Random(2).choices(b"ab\0", k=3000))
+    rows = [data[i : i + 16] for i in range(0, 2900, 7)]
+    words = [np.array([int.from_bytes(x[8 * j : 8 * j + 8], "big") for x in rows], np.uint64) for j in range(2)]
+    order, common = prefix_free_dedup._sorted_with_lcp(words)
+    by_hand = sorted(rows)
+    assert [rows[i] for i in order] == by_hand and common[0] == -1
+    assert common[1:].tolist() == [next((k for k in range(16) if a[k] != b[k]), 16) for a, b in zip(by_hand, by_hand[1:], strict=False)]

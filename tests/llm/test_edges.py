@@ -122,6 +122,11 @@ def test_repeats(docs, empty):
     found = by_id(got)
     assert got.count() == len(ROWS) and found[1].n_bytes == 0 and found[6].n_removed == found[6].n_bytes == len(LONG) and found[6].n_spans == 1 and found[5].n_removed == 0 and found[7].n_removed == 0
     assert prefix_free_dedup.remove_repeats(empty.select("doc_id", "text")).count() == 0
+    assert prefix_free_dedup.remove_repeats(docs).columns == [c for c in docs.columns if c != "text"] + ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    clash = docs.select("doc_id", "text", F.lit("a").alias("n_bytes"), F.lit(2).alias("row"), F.lit("x").alias("kept text"), F.lit(1).alias("answers"), F.lit(1).alias("kept_text"))
+    assert prefix_free_dedup.remove_repeats(clash).columns == ["doc_id", "row", "kept text", "answers", "kept_text", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert {r.n_bytes for r in prefix_free_dedup.keep_rest(clash).collect()} == {"a"} and prefix_free_dedup.keep_rest(clash).columns == clash.columns
+    assert not [t for t in docs.sparkSession.catalog.listTables() if t.name.startswith("slices_")]
     kept = prefix_free_dedup.keep_rest(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [1, 2, 3, 4, 5, 7, 8, 9]
 
