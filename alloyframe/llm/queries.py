@@ -91,25 +91,25 @@ def _op7_sql() -> str:
     values = lambda rows: ", ".join("('" + "', '".join(x.replace("'", "''") for x in r) + "')" for r in rows)
     cut = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
-WITH docs AS (SELECT doc_id, {cut} AS w FROM documents),
-pos AS (SELECT doc_id, w, unnest(range(len(w))) AS p FROM docs),
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {cut} AS w FROM documents),
+pos AS (SELECT r, w, unnest(range(len(w))) AS p FROM docs),
 phrase AS (SELECT string_split(phrase, ' ') AS q, label FROM (VALUES {values(d.PHRASES)}) AS v(phrase, label)),
-place AS (SELECT doc_id, p, label FROM pos JOIN phrase ON w[p + 1] = q[1] AND w[p + 1 : p + len(q)] = q),
-base AS (SELECT doc_id, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, list_sort(list(DISTINCT label)) AS own FROM place GROUP BY doc_id),
+place AS (SELECT r, p, label FROM pos JOIN phrase ON w[p + 1] = q[1] AND w[p + 1 : p + len(q)] = q),
+base AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, list_sort(list(DISTINCT label)) AS own FROM place GROUP BY r),
 template AS (SELECT label, {cut} AS q FROM (VALUES {values(d.TEMPLATES)}) AS v(label, text)),
 gram AS (SELECT label, len(q) - {d.K} + 1 AS grams, t, array_to_string(q[t + 1 : t + {d.K}], ' ') AS g FROM (SELECT label, q, unnest(range(len(q) - {d.K} + 1)) AS t FROM template)),
-hit AS (SELECT doc_id, label, grams, p, p - t AS diagonal FROM (SELECT doc_id, p, array_to_string(w[p + 1 : p + {d.K}], ' ') AS g FROM pos WHERE p + {d.K} <= len(w)) JOIN gram USING (g)),
-vote AS (SELECT doc_id, label, grams, diagonal, count(*) AS votes, min(p) AS low, max(p) AS high FROM hit GROUP BY ALL),
-step AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, label ORDER BY diagonal) <= {d.BAND} THEN 0 ELSE 1 END AS new FROM vote),
-span AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, label ORDER BY diagonal) AS span FROM step),
-merged AS (SELECT doc_id, label, grams, sum(votes) AS votes, min(low) AS low, max(high) AS high FROM span GROUP BY doc_id, label, grams, span),
-judged AS (SELECT doc_id, label, least(1.0, CAST(votes AS DOUBLE) / grams) AS cover,
+hit AS (SELECT r, label, grams, p, t, p - t AS diagonal FROM (SELECT r, p, array_to_string(w[p + 1 : p + {d.K}], ' ') AS g FROM pos WHERE p + {d.K} <= len(w)) JOIN gram USING (g)),
+vote AS (SELECT r, label, grams, diagonal, list(DISTINCT t) AS ts, min(p) AS low, max(p) AS high FROM hit GROUP BY r, label, grams, diagonal),
+step AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, label ORDER BY diagonal) <= {d.BAND} THEN 0 ELSE 1 END AS new FROM vote),
+span AS (SELECT *, sum(new) OVER (PARTITION BY r, label ORDER BY diagonal) AS span FROM step),
+merged AS (SELECT r, label, grams, len(list_distinct(flatten(list(ts)))) AS votes, min(low) AS low, max(high) AS high FROM span GROUP BY r, label, grams, span),
+judged AS (SELECT r, label, CAST(votes AS DOUBLE) / grams AS cover,
   100 * votes >= {d.COVER_PERCENT} * grams AND 100 * (high + {d.K} - low) <= {d.LENGTH_PERCENT} * (grams + {d.K} - 1) AS ok FROM merged),
-found AS (SELECT doc_id, list(DISTINCT label) FILTER (ok) AS more, max(cover) FILTER (ok) AS sure, max(cover) AS best FROM judged GROUP BY doc_id)
+found AS (SELECT r, list(DISTINCT label) FILTER (ok) AS more, max(cover) FILTER (ok) AS sure, max(cover) AS best FROM judged GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(own, ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(more, [])))), ','), '') AS labels,
   CAST(coalesce(sure, CASE WHEN n_base > 0 THEN 0.5 END, best / 2, 0) AS DOUBLE) AS score
-FROM docs LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
+FROM docs LEFT JOIN base USING (r) LEFT JOIN found USING (r)
 """
 
 

@@ -213,6 +213,27 @@ def test_edited_license(spark):
     assert got[1].labels == "mit-grant" and got[1].score > 0.6 and got[2].labels == got[3].labels == "" and got[1].base_labels == ""
 
 
+def test_license_votes_by_row(spark):
+    """Parts of a license are no license, however often the row or the part is repeated."""
+    grant = license_diagonals.TEMPLATES[10][1]
+    part = " ".join(grant.split()[:10])
+    rows = [(1, part), (1, part), (1, part), (2, part), (3, f"{part} {part} {part}"), (4, part), (4, " ".join(grant.split()[9:])), (5, grant), (5, grant), (None, grant), (None, part), (6, "\u212aelvin " + grant.upper())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.n_words, r.labels, round(r.score, 3)) for r in license_diagonals.license_labels(docs).collect()]
+    low = next(x[3] for x in got if x[0] == 2)
+    assert sorted(x for x in got if x[0] in (1, 2)) == [(1, 10, "", low)] * 3 + [(2, 10, "", low)]
+    assert {x[2] for x in got if x[0] in (3, 4)} == {""} and [x[2] for x in got if x[0] in (5, 6)] == ["mit-grant"] * 3
+    assert sorted(x[2] for x in got if x[0] is None) == ["", "mit-grant"]
+
+
+def test_whole_license_texts(spark):
+    texts = dict(license_diagonals.TEXTS)
+    edited = {k: " ".join(w for i, w in enumerate(t.split()) if i % 25 != 3) for k, t in texts.items()}
+    docs = spark.createDataFrame([(i, f"Some words before. {t} And after.") for i, t in enumerate([*texts.values(), *edited.values()])], "doc_id long, text string")
+    got = {r.doc_id: r.labels.split(",") for r in license_diagonals.license_labels(docs).collect()}
+    assert all(name in got[i] and name in got[i + len(texts)] for i, name in enumerate(texts))
+
+
 def test_languages_held_out(spark):
     lang = dict(duckdb.connect().execute(f"SELECT doc_id, lang FROM '{DATA}/documents.parquet'").fetchall())
     got = [r for r in queries.op1_language_mixture(spark, DATA).collect() if r.held_out]
