@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alloyframe.llm import bpe_prefix, decontamination, golay_simhash, language_mixture, license_diagonals, line_frequency, prefix_free_dedup, token_rollups, toxicity_cnn, zip_warc
-from alloyframe.llm.common import held_out, scratch, table
+from alloyframe.llm.common import held_out, scratch, stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,19 +22,20 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five batches over all documents: two tokenizer versions in, one revised, copies deleted; two come twice."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    rollup = token_rollups.TokenRollup(spark, scratch(spark, "rollup"))
-    (words, pieces) = token_rollups.TOKENIZERS.items()
-    rollup.apply("words", token_rollups.counted(docs, *words))
-    rollup.apply("pieces", token_rollups.counted(docs, *pieces))
-    revision = token_rollups.revised(docs, words[0], words[1], token_rollups.REVISED)
+    t = token_rollups
+    patterns = t.TOKENIZERS | {"words-2": t.REVISED}
+    docs = stage(t.measured(table(spark, sf_dir, "documents"), patterns), "counts")
+    rollup = t.TokenRollup(spark, scratch(spark, "rollup"))
+    revision = t.revised(docs, "words-1", "words-1", "words-2")
+    copies = t.later_copies(docs)
+    rollup.apply("words", t.counted(docs, "words-1"))
+    rollup.apply("pieces", t.counted(docs, "pieces-1"))
     rollup.apply("revision", revision)
-    copies = token_rollups.later_copies(docs)
-    rollup.apply("copies-words", token_rollups.counted(copies, words[0], token_rollups.REVISED, -1))
-    rollup.apply("copies-pieces", token_rollups.counted(copies, *pieces, -1))
+    rollup.apply("copies/words", t.counted(copies, "words-1", "words-2", -1))
+    rollup.apply("copies/pieces", t.counted(copies, "pieces-1", sign=-1))
     rollup.apply("revision", revision)
     rollup.compact()
-    rollup.apply("words", token_rollups.counted(docs, *words))
+    rollup.apply("words", t.counted(docs, "words-1"))
     return rollup.totals()
 
 

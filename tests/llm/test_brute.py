@@ -13,8 +13,8 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from alloyframe.llm import bpe_prefix, decontamination, golay_simhash, language_mixture, license_diagonals, prefix_free_dedup, queries, toxicity_cnn, zip_warc
-from alloyframe.llm.common import table
+from alloyframe.llm import bpe_prefix, decontamination, golay_simhash, language_mixture, license_diagonals, prefix_free_dedup, queries, token_rollups, toxicity_cnn, zip_warc
+from alloyframe.llm.common import scratch, table
 
 DATA = "/root/testdata/sf0.001"
 
@@ -133,6 +133,15 @@ def test_tokens_as_the_library(spark):
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(data).hexdigest(), hashlib.sha256(own[r.doc_id].encode()).hexdigest())
 
 
+def test_rollup_of_the_encoder(spark):
+    own, enc = texts(), encoding()
+    docs = table(spark, DATA, "documents")
+    r = token_rollups.TokenRollup(spark, scratch(spark, "rollup"))
+    rows = token_rollups.measured_by_bpe(docs)
+    assert r.apply("in", token_rollups.counted(rows, "bpe-1")) and not r.apply("in", token_rollups.counted(rows, "bpe-1"))
+    assert r.totals().agg(F.sum("n_docs"), F.sum("n_tokens")).first() == (len(own), sum(len(enc.encode_ordinary(t)) for t in own.values()))
+
+
 def test_tokens_of_odd_texts():
     enc, codec, r = encoding(), bpe_prefix.codec(public_tokenizers.path(bpe_prefix.VOCABULARY), public_tokenizers.PATTERN), random.Random(1)
     parts = ["a", "th", "ing", " ", "  ", "é", "ß", "你", "好", "\n", " \n", "\t", "😀", "1", "!", "'s", "'", "   ", "\x00", " ", " ", "<|endoftext|>"]

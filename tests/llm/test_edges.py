@@ -91,20 +91,54 @@ def test_repeat_words():
 
 
 def test_rollup(spark, docs, empty):
-    r = token_rollups.TokenRollup(spark, scratch(spark, "rollup"))
+    t = token_rollups
+    r = t.TokenRollup(spark, scratch(spark, "rollup"))
+    rows = t.measured(docs, {"w": r"\S+"})
     assert r.totals().count() == 0
-    delta = token_rollups.counted(docs, "w", r"\S+")
-    assert r.apply("one", delta) and not r.apply("one", delta) and r.apply("none", token_rollups.counted(empty, "w", r"\S+"))
+    delta = t.counted(rows, "w")
+    assert r.apply("one", delta) and not r.apply("one", delta) and r.apply("none", t.counted(t.measured(empty, {"w": r"\S+"}), "w"))
     total = lambda: (r.totals().agg(F.sum("n_docs"), F.sum("n_tokens")).first())
     first = total()
     assert first[0] == len(ROWS)
-    r.compact()
-    assert total() == first and not r.apply("one", delta)
-    r.apply("back", token_rollups.counted(docs, "w", r"\S+", -1))
+    assert r.compact() and total() == first and not r.apply("one", delta)
+    odd = ["a/b", "..", "a:b c", "é%2F", ""]
+    assert all(r.apply(k, delta) for k in odd) and not any(r.apply(k, delta) for k in odd) and r.committed() == {"one", "none", *odd} and total()[0] == 6 * len(ROWS)
+    for k in odd:
+        r.apply(f"not {k}", t.counted(rows, "w", sign=-1))
+    r.apply("back", t.counted(rows, "w", sign=-1))
     assert r.totals().count() == 0
-    r.compact()
-    assert r.totals().count() == 0
-    assert sorted(x.doc_id for x in token_rollups.later_copies(docs).collect()) == [6, 6]
+    assert r.compact() and r.totals().count() == 0
+    with pytest.raises(ValueError, match="characters"):
+        r.apply("x" * 300, delta)
+    assert sorted(x.doc_id for x in t.later_copies(rows).collect()) == [6, 6]
+    assert [(x.doc_id, x.counts["b"]) for x in t.measured_by_bpe(docs, "b").where("doc_id in (1, 2, 4)").orderBy("doc_id").collect()][:2] == [(1, 0), (2, 0)]
+
+
+def test_batches_that_land_during_a_compaction(spark, monkeypatch):
+    t = token_rollups
+    one = spark.createDataFrame([("s", "l", "w", 1, 5)], "source string, lang string, tokenizer string, sign int, n_tokens long")
+    path = scratch(spark, "rollup")
+    a, b = t.TokenRollup(spark, path), t.TokenRollup(spark, path)
+    a.apply("1", one)
+    a.apply("2", one)
+    summed = a._summed
+
+    def late(*of):
+        b.apply("3", one)  # after the look at the folder
+        return summed(*of)
+
+    monkeypatch.setattr(a, "_summed", late)
+    assert a.compact()
+    assert [(r.n_docs, r.n_tokens) for r in b.totals().collect()] == [(3, 15)]
+    state = b._state()
+    monkeypatch.setattr(b, "_state", lambda: state)
+    monkeypatch.setattr(a, "_summed", summed)
+    assert a.compact() and not b.compact()  # the second of two compactions at once goes
+    assert [(r.n_docs, r.n_tokens) for r in a.totals().collect()] == [(3, 15)]
+    folder = a._attempt()
+    one.write.parquet(folder)  # an attempt that broke off before its rename
+    assert a.apply("4", one) and a.totals().first().n_docs == 4
+    assert not a._commit(folder, "batches/id-4") and a.totals().first().n_docs == 4
 
 
 def test_simhash(docs, empty):
