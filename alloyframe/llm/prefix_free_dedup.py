@@ -6,21 +6,23 @@ byte that a repeat covers goes.
 Parse. A trigger is the place of the smallest rolling hash (of 20 bytes) in some string of the least length, the first
 of equal ones, so that each such string has one trigger, within it, that only its own bytes decide. A phrase is all
 the strings that have one trigger, taken together: some bytes to the left, the 20 bytes of the trigger, some bytes to
-the right. A text is a row of phrases, and equal passages have equal phrases but for the first and the last.
+the right. A text is a row of phrases, and equal passages have equal phrases but for the first and the last. The row
+is parsed in its turn: phrases with a certain hash ends a run of some 8 phrases.
 
 Corpus order. Two strings are equal only if their triggers are, so the order is made trigger by trigger:
 
-1. triggers: only phrases whose trigger stands in two documents are looked at further;
+1. runs and triggers: a run that an earlier document has goes whole. Of the rest, only phrases whose trigger stands in
+   two documents are looked at further;
 2. these phrases go, each distinct one of a slice once, with all their bytes, to the bucket of their trigger, where
    they are the corpus's dictionary for it. What leads up to a trigger is ordered as the dictionary's suffixes, from
    the trigger backwards; what follows it as the parse continues. Each order comes with the lengths that neighbours
    have in common, so that for a string of k bytes to the left of its trigger, a class of the first order at depth k
    and one of the second at depth 50 - k together name the run of equal strings in the corpus. The first document
-   of a run keeps the string.
+   of these keeps the string.
 
-Equality is by bytes. A trigger with very many phrases (a line in a large part of all documents, with other text
-around it) would make one bucket's dictionary grow with the corpus: its strings go one by one instead, each distinct
-one of a slice once, to buckets of their own 128-bit hash.
+Phrases are compared by their bytes, runs by 128-bit hashes. A trigger with very many phrases (a line in a large part
+of all documents, with other text around it) would make one bucket's dictionary grow with the corpus: its strings go
+one by one instead, each distinct one of a slice once, to buckets of their own 128-bit hash.
 
 Texts are packed into slices of some MB that are parsed and written once, bucketed by slice. A slice sends its keys,
 sorted and packed, to buckets, a bucket answers for each key, and the answers join the slices where they are. A key
@@ -40,19 +42,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alloyframe.llm.common import drop_path, drop_staged, scratch, slices, stage
+from alloyframe.llm.common import drop_path, drop_staged, keep_freed_memory, scratch, slices, stage
 
 LEAST, GRAM = 50, 20
 #: Bytes of a phrase on either side of its trigger, at most.
 SIDE = LEAST - GRAM
 #: Bytes of text in a slice, of all texts for each hash bucket, and for each task that reads slices.
-SLICE, BUCKET, TASK = 4 << 20, 16 << 20, 64 << 20
+SLICE, BUCKET, TASK = 4 << 20, 16 << 20, 16 << 20
 #: Hash buckets at most, as a power of two; beyond it buckets grow.
 MOST_BITS = 18
-#: Places of a trigger in the corpus from which its strings go one by one; a slice counts 127 at most.
-HOT = 50_000
+#: Places of a trigger in the corpus, about, from which its strings go one by one.
+HOT = 20_000
+#: Phrases with this many low bits of their hash zero end a run.
+RUN_BITS = 3
 #: Bytes of text that are hashed at a time, for the processor's cache.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 #: Zero bytes around gathered text, so that words may be read beyond its ends.
 MARGIN = 64
 
@@ -78,25 +82,41 @@ def word_view(data: np.ndarray, order: str = "<") -> np.ndarray:
     return np.ndarray((max(0, len(data) - 7),), f"{order}u8", data, strides=(1,))
 
 
+def _gram(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Hash of 20 bytes from the words at 0, 8 and 12, each mixed so that its highest bytes reach the lower bits."""
+    h = a * A
+    h += b * B
+    h += c * C
+    h ^= h >> np.uint64(32)
+    h *= A
+    return h
+
+
 def gram_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the 20 bytes from each place on."""
-    h8 = _mix(np.ascontiguousarray(word_view(data)) * A)
-    h16 = _pair(h8[:-8], h8[8:])
-    return _pair(h16[:-4], h16[4:])
+    w = np.ascontiguousarray(word_view(data))
+    w ^= w >> np.uint64(29)
+    return _gram(w[:-12], w[8:-4], w[12:])
 
 
 def gram_hashes_at(words: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The same, of some places only."""
-    a, b, c, d = (_mix(words[at + k] * A) for k in (0, 4, 8, 12))
-    return _pair(_pair(a, c), _pair(b, d))
+    """The same, of some places only, mixed once more: hashes of triggers are small ones, and buckets go by high bits."""
+    got = [words[at + k] for k in (0, 8, 12)]
+    return _mix(_gram(*(w ^ w >> np.uint64(29) for w in got)))
 
 
-def string_hashes_at(words: np.ndarray, at: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Hash of the 50 bytes from each of these places on."""
-    h = np.full(len(at), seed, np.uint64)
-    for k in WORDS:
-        h = _pair(h, words[at + k])
-    return h
+#: Odd factors of the words of a string, for two hashes.
+FACTORS = [[(0x9E3779B97F4A7C15 * (2 * i + 3) ^ 0xD6E8FEB86659FD93 * (j + 1)) % 2**64 | 1 for j in range(len(WORDS))] for i in range(2)]
+
+
+def string_hashes_at(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the 50 bytes from each of these places on."""
+    a, b = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+    for k, m, n in zip(WORDS, *FACTORS, strict=True):
+        w = _mix(words[at + k])
+        a += w * np.uint64(m)
+        b += w * np.uint64(n)
+    return _mix(a), _mix(b)
 
 
 def triggers(h: np.ndarray, width: int) -> np.ndarray:
@@ -179,13 +199,27 @@ def parse(body: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def _parse(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     h = gram_hashes(data)
-    place = np.arange(len(data) - LEAST + 1)
-    ok = place + LEAST <= np.repeat(ends, np.diff(np.concatenate([[0], ends])))[: len(place)]
-    string, t = place[ok], triggers(h, SIDE + 1)[ok]
+    t = triggers(h, SIDE + 1)
+    begins = np.concatenate([[0], ends[:-1]])
+    strings = np.maximum(0, ends - begins - LEAST + 1)
+    t = np.concatenate([t[:0], *(t[a : a + n] for a, n in zip(begins.tolist(), strings.tolist(), strict=True) if n)])
     # equal triggers of two documents are never the same place, so runs of one trigger are phrases
     start = _starts(t)
-    first, at = string[start], t[start]
-    return np.diff(np.append(start, len(t))).astype(np.uint8), (at - first).astype(np.uint8), h[at]
+    before = np.cumsum(strings)
+    which = np.searchsorted(before, start, side="right")
+    first, at = start - (before - strings)[which] + begins[which], t[start]
+    return np.diff(np.append(start, len(t))).astype(np.uint8), (at - first).astype(np.uint8), _mix(h[at])
+
+
+@dataclass
+class Runs:
+    """Runs of phrases: the run of each phrase, first and last phrase of each, and two hashes of its bytes."""
+
+    of: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
+    keys: np.ndarray
+    other: np.ndarray
 
 
 @dataclass
@@ -204,24 +238,50 @@ class Slice:
         strings = np.maximum(0, self.sizes - LEAST + 1)
         before = np.cumsum(strings)  # strings of a document and those before it
         rank = np.cumsum(self.count) - self.count
-        which = np.searchsorted(before, rank, side="right")
-        self.first = rank - (before - strings)[which] + (self.ends - self.sizes)[which]
-        self.doc = self.ids[which]
+        self.which = np.searchsorted(before, rank, side="right")
+        self.first = rank + (self.ends - self.sizes - before + strings)[self.which]
+        self.doc = self.ids[self.which]
         self.at = self.first + self.off
         self.words = word_view(self.body)
 
-    def open(self, answers: Answers) -> tuple[np.ndarray, np.ndarray]:
-        """Phrases whose trigger stands in two documents: those of ordinary triggers, and those of hot ones."""
+    def runs(self) -> Runs:
+        n = len(self.first)
+        if not n:
+            none = np.zeros(0, np.int64)
+            return Runs(none, none, none, none.view(np.uint64), none.view(np.uint64))
+        a, b = string_hashes_at(self.words, self.first)
+        new = np.ones(n, bool)
+        new[1:] = (a[:-1] & np.uint64((1 << RUN_BITS) - 1) == 0) | (self.which[1:] != self.which[:-1])
+        start = np.flatnonzero(new)
+        of = np.cumsum(new) - 1
+        place = np.arange(n) - start[of]
+        stop = np.append(start[1:], n) - 1
+        last = string_hashes_at(self.words, self.first[stop] + self.count[stop] - 1)
+        keys = []
+        for h, end, factor in zip((a, b), last, (A, B), strict=True):
+            power = np.cumprod(np.full(int(place.max()) + 1, factor))
+            keys.append(_pair(np.add.reduceat(h * power[place], start), end + (stop - start).astype(np.uint64)))
+        return Runs(of, start, stop, *keys)
+
+    def run_classes(self, runs: Runs) -> Classes:
+        return _exact(runs.keys, self.doc[runs.start], [runs.other])
+
+    def open(self, answers: Answers) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Phrases in runs that an earlier document has, and of the others those whose trigger stands in two
+        documents: of ordinary triggers, and of hot ones."""
+        runs = self.runs()
+        own = self.run_classes(runs)
+        held = (answers.repeats(4, own.keys)[own.entry] | (self.doc[runs.start] > own.least[own.entry]))[runs.of]
         r = Classes.of(gram_hashes_at(self.words, self.at), self.doc)
         shared, hot = answers.triggers(r.keys)
-        some = shared[r.entry]
-        return np.flatnonzero(some & ~hot[r.entry]), np.flatnonzero(some & hot[r.entry])
+        some = shared[r.entry] & ~held
+        return np.flatnonzero(held), np.flatnonzero(some & ~hot[r.entry]), np.flatnonzero(some & hot[r.entry])
 
     def phrases(self, which: np.ndarray) -> Classes:
         """Classes of equal phrases, in the order of their trigger's hash."""
         first, last = self.first[which], self.first[which] + self.count[which] - 1
         parts = [self.count[which], *(self.words[p + k] for p in (first, last) for k in WORDS)]
-        a, b = string_hashes_at(self.words, first), string_hashes_at(self.words, last)
+        a, b = string_hashes_at(self.words, first)[0], string_hashes_at(self.words, last)[0]
         got = _exact(_pair(_pair(a, b), self.count[which].astype(np.uint64)), self.doc[which], parts)
         gram = gram_hashes_at(self.words, self.at[which[got.some]])
         order = np.lexsort((got.keys, gram))
@@ -229,42 +289,41 @@ class Slice:
         place[order] = np.arange(len(order))
         return Classes(gram[order], place[got.entry], got.least[order], got.some[order], got.count[order], got.many[order])
 
-    def strings(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, Classes]:
-        """Places and documents of the strings of these phrases, and their classes by the first half of their hash."""
+    def strings(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, Classes, np.ndarray]:
+        """Places and documents of the strings of these phrases, their classes by one hash, and the other hash."""
         n = self.count[which]
         s = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[which], n)
         doc = np.repeat(self.doc[which], n)
-        return s, doc, _exact(string_hashes_at(self.words, s), doc, [self.words[s + k] for k in WORDS])
+        a, b = string_hashes_at(self.words, s)
+        return s, doc, _exact(a, doc, [self.words[s + k] for k in WORDS]), b
 
     def asked(self, answers: Answers, bits: int) -> Iterator[tuple[int, int, bytes]]:
         """(step, bucket, message) of steps 2 and 3."""
-        plain, hot = self.open(answers)
+        _, plain, hot = self.open(answers)
         r = self.phrases(plain)
         rep = plain[r.some]
         for b, own in _buckets(r.keys, bits):
             yield 2, b, pack_phrases(self.body, self.first[rep[own]], self.count[rep[own]], self.off[rep[own]], r.least[own])
-        s, _, r = self.strings(hot)
-        other = string_hashes_at(self.words, s[r.some], 1)
-        for b, own in _buckets(r.keys, bits):
-            yield 3, b, r.keys[own].astype("<u8").tobytes() + other[own].tobytes() + r.least[own].astype("<i8").tobytes()
+        _, _, r, other = self.strings(hot)
+        yield from hash_messages(3, r, other, bits)
 
     def kept(self, answers: Answers) -> np.ndarray:
         """Which bytes stay."""
-        plain, hot = self.open(answers)
+        held, plain, hot = self.open(answers)
         r = self.phrases(plain)
         masks = answers.masks(r.keys)[r.entry]
-        masks[self.doc[plain] > r.least[r.entry]] = (1 << (SIDE + 1)) - 1  # a string that a phrase lacks is never looked at
-        step = np.zeros(len(self.body) + 1, np.int32)
-        gone = []
+        whole = self.doc[plain] > r.least[r.entry]
+        gone, end = [self.first[plain[whole]], self.first[held]], [(self.first + self.count - 1)[plain[whole]], (self.first + self.count - 1)[held]]
+        some = ~whole & (masks > 0)
+        part, masks = plain[some], masks[some]
         for k in range(SIDE + 1):
-            own = plain[(masks >> np.uint32(k) & np.uint32(1)).astype(bool)]
-            n = self.off[own] - k
-            gone.append((self.at[own] - k)[(n >= 0) & (n < self.count[own])])
-        s, doc, r = self.strings(hot)
-        gone.append(s[answers.repeats(r.keys)[r.entry] | (doc > r.least[r.entry])])
-        s = np.concatenate(gone)
-        step += np.bincount(s, minlength=len(step)).astype(np.int32)
-        step -= np.bincount(s + LEAST, minlength=len(step)).astype(np.int32)
+            at = self.at[part[(masks >> np.uint32(k) & np.uint32(1)).astype(bool)]] - k
+            gone.append(at)
+            end.append(at)
+        s, doc, r, _ = self.strings(hot)
+        at = s[answers.repeats(3, r.keys)[r.entry] | (doc > r.least[r.entry])]
+        step = np.bincount(np.concatenate([*gone, at]), minlength=len(self.body) + 1).astype(np.int32)
+        step -= np.bincount(np.concatenate([*end, at]) + LEAST, minlength=len(step)).astype(np.int32)
         return np.cumsum(step[:-1], dtype=np.int32) == 0
 
 
@@ -280,14 +339,25 @@ def _buckets(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(b), slice(edges[b], edges[b + 1])
 
 
-def trigger_messages(gram: np.ndarray, doc: np.ndarray, bits: int) -> list[tuple[int, bytes]]:
-    """(bucket, message) of step 1: 48 bits of each trigger, whether many documents have it, and how often it stands."""
-    r = Classes.of(gram, doc)
-    out = []
-    for b, own in _buckets(r.keys, bits):
-        short = (r.keys[own] << np.uint64(bits) >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-        out.append((b, np.ascontiguousarray(short).tobytes() + (r.many[own] << 7 | np.minimum(r.count[own], 127)).astype(np.uint8).tobytes()))
-    return out
+def first_messages(own: Slice, gram: np.ndarray, bits: int) -> Iterator[tuple[int, int, bytes]]:
+    """(step, bucket, message) of what a slice asks first: of triggers (step 1) and of runs (step 4).
+
+    A trigger is 48 bits of its hash, whether many documents have it, and seven bits of about how often it stands.
+    """
+    r = Classes.of(gram, own.doc)
+    often = np.minimum(127, np.ceil(8 * np.log2(np.maximum(1, r.count)))).astype(np.uint8)
+    marks = r.many.astype(np.uint8) << 7 | often
+    for b, part in _buckets(r.keys, bits):
+        short = (r.keys[part] << np.uint64(bits) >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        yield 1, b, np.ascontiguousarray(short).tobytes() + marks[part].tobytes()
+    runs = own.runs()
+    yield from hash_messages(4, own.run_classes(runs), runs.other, bits)
+
+
+def hash_messages(step: int, r: Classes, other: np.ndarray, bits: int) -> Iterator[tuple[int, int, bytes]]:
+    """Both hashes of each class, and its smallest document."""
+    for b, part in _buckets(r.keys, bits):
+        yield step, b, r.keys[part].astype("<u8").tobytes() + other[r.some[part]].astype("<u8").tobytes() + r.least[part].astype("<i8").tobytes()
 
 
 @dataclass
@@ -310,8 +380,8 @@ class Answers:
     def masks(self, keys: np.ndarray) -> np.ndarray:
         return self._spread(2, keys, "u4", lambda x, n: np.frombuffer(x, "<u4", n))
 
-    def repeats(self, keys: np.ndarray) -> np.ndarray:
-        return self._spread(3, keys, "?", lambda x, n: np.frombuffer(x, np.bool_, n))
+    def repeats(self, step: int, keys: np.ndarray) -> np.ndarray:
+        return self._spread(step, keys, "?", lambda x, n: np.frombuffer(x, np.bool_, n))
 
 
 # --- what buckets do -------------------------------------------------------------------------------------------
@@ -330,7 +400,8 @@ def answer_triggers(messages: list[bytes], hot: int) -> list[bytes]:
     start = _starts(key[order])
     size = np.diff(np.append(start, len(key)))
     shared = (size > 1) | (np.maximum.reduceat(mark[order], start) > 127)
-    state = np.where(shared, np.where(np.add.reduceat((mark[order] & 127).astype(np.int64), start) > hot, 2, 1), 0).astype(np.uint8)
+    often = np.add.reduceat(2.0 ** ((mark[order] & 127) / 8), start)
+    state = np.where(shared, np.where(often > hot, 2, 1), 0).astype(np.uint8)
     out = np.empty(len(key), np.uint8)
     out[order] = np.repeat(state, size)
     return [x.tobytes() for x in np.split(out, np.cumsum(n)[:-1])]
@@ -338,7 +409,8 @@ def answer_triggers(messages: list[bytes], hot: int) -> list[bytes]:
 
 def pack_phrases(body: np.ndarray, first: np.ndarray, count: np.ndarray, off: np.ndarray, doc: np.ndarray) -> bytes:
     n = count + LEAST - 1
-    flat = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+    kind = np.int32 if max(len(body), n.sum()) < 1 << 31 else np.int64
+    flat = np.arange(n.sum(), dtype=kind) + np.repeat((first - (np.cumsum(n) - n)).astype(kind), n)
     head = np.array([len(first)], "<u4").tobytes() + doc.astype("<i8").tobytes()
     return head + count.astype(np.uint8).tobytes() + off.astype(np.uint8).tobytes() + body[flat].tobytes()
 
@@ -411,8 +483,8 @@ def _runs(text: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray,
     return out
 
 
-def answer_strings(messages: list[bytes]) -> list[bytes]:
-    """For each string whether one of a smaller document has the same hash."""
+def answer_hashes(messages: list[bytes]) -> list[bytes]:
+    """For each pair of hashes whether a smaller document has the same."""
     n = [len(x) // 24 for x in messages]
     key, other, doc = (np.concatenate([np.frombuffer(x, t, k, 8 * i * k) for x, k in zip(messages, n, strict=True)]) for i, t in enumerate(("<u8", "<u8", "<i8")))
     order = np.lexsort((other, key))
@@ -425,7 +497,7 @@ def answer_strings(messages: list[bytes]) -> list[bytes]:
 
 
 # --- Spark -----------------------------------------------------------------------------------------------------
-MESSAGES = "array<struct<bucket:int,message:binary>>"
+MESSAGES = "array<struct<step:int,bucket:int,message:binary>>"
 #: A document without an id has no smaller one before it, and comes after all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -453,10 +525,8 @@ def pack(docs: DataFrame, bits: int) -> DataFrame:
         sizes = np.fromiter((len(x) for x in texts.to_pylist()), np.int64, len(texts))
         count, off, gram = parse(np.frombuffer(raw, np.uint8), sizes)
         ids = _one(t.column("doc_id")).to_pylist()
-        strings = np.maximum(0, sizes - LEAST + 1)
-        rank = np.cumsum(count.astype(np.int64)) - count
-        doc = _ids(ids)[np.searchsorted(np.cumsum(strings), rank, side="right")]
-        sent = [{"bucket": b, "message": m} for b, m in trigger_messages(gram, doc, bits)]
+        own = Slice(np.frombuffer(raw, np.uint8), sizes, _ids(ids), count, off)
+        sent = [{"step": s, "bucket": b, "message": m} for s, b, m in first_messages(own, gram, bits)]
         sink = pa.BufferOutputStream()
         rest = t.select(others)
         with pa.ipc.new_stream(sink, rest.schema) as w:
@@ -464,11 +534,12 @@ def pack(docs: DataFrame, bits: int) -> DataFrame:
         row = {
             "slice": pa.array([uuid.uuid4().int >> 65], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())), "sizes": pa.array([sizes.tolist()], pa.list_(pa.int32())), "body": pa.array([raw], pa.binary()),
             "count": pa.array([count.tobytes()], pa.binary()), "off": pa.array([off.tobytes()], pa.binary()), "rest": pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-            "sent": pa.array([sent], pa.list_(pa.struct([("bucket", pa.int32()), ("message", pa.binary())]))),
+            "sent": pa.array([sent], pa.list_(pa.struct([("step", pa.int32()), ("bucket", pa.int32()), ("message", pa.binary())]))),
         }
         return pa.RecordBatch.from_arrays(list(row.values()), names=list(row))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_freed_memory()
         held, size = [], 0
         for part in slices(batches, SLICE // 4):
             held.append(part)
@@ -483,6 +554,7 @@ def pack(docs: DataFrame, bits: int) -> DataFrame:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    keep_freed_memory()
     for batch in batches:
         for i in range(batch.num_rows):
             yield {k: batch.column(k)[i].as_py() for k in batch.schema.names}
@@ -516,7 +588,7 @@ class Corpus:
         drop_staged(*self.told)
 
     def joined(self, *columns: str) -> DataFrame:
-        """The slices with what buckets have told them: for each of three steps an entry for each bucket at most."""
+        """The slices with what buckets have told them: for each step an entry for each bucket at most."""
         told = self.told[0]
         for more in self.told[1:]:
             told = told.unionAll(more)
@@ -526,7 +598,7 @@ class Corpus:
     def answered(self, sent: DataFrame) -> None:
         """Let the buckets answer messages (step, bucket, slice, message)."""
         hot = self.hot
-        how = {1: lambda m: answer_triggers(m, hot), 2: answer_phrases, 3: answer_strings}
+        how = {1: lambda m: answer_triggers(m, hot), 2: answer_phrases, 3: answer_hashes, 4: answer_hashes}
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def out() -> pa.RecordBatch:
@@ -550,10 +622,10 @@ class Corpus:
         self.told.append(stage(dealt.mapInArrow(run, "slice long, step int, bucket int, answer binary"), "answers"))
 
     def ask(self) -> None:
-        """The three steps."""
+        """What the slices ask, first from their parse and then from the answers."""
         bits = self.bits
         first = self.slices.select("slice", F.explode("sent").alias("m"))
-        self.answered(first.select(F.lit(1).alias("step"), "m.bucket", "slice", "m.message"))
+        self.answered(first.select("m.step", "m.bucket", "slice", "m.message"))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for row in _rows(batches):

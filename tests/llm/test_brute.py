@@ -333,9 +333,9 @@ def answered_in_memory(rows, n_slices, hot):
         own.append(d.Slice(body, sizes, np.array([i for i, _ in g], np.int64), count, off))
         answers.append(d.Answers({}, bits))
         assert (d.gram_hashes_at(own[k].words, own[k].at) == gram).all()
-        for b, message in d.trigger_messages(gram, own[k].doc, bits):
-            sent.setdefault((1, b), []).append((k, message))
-    how = {1: lambda m: d.answer_triggers(m, hot), 2: d.answer_phrases, 3: d.answer_strings}
+        for step, b, message in d.first_messages(own[k], gram, bits):
+            sent.setdefault((step, b), []).append((k, message))
+    how = {1: lambda m: d.answer_triggers(m, hot), 2: d.answer_phrases, 3: d.answer_hashes, 4: d.answer_hashes}
 
     def answered():
         for (step, b), messages in sent.items():
@@ -370,6 +370,7 @@ def test_repeats_when_documents_are_cut(monkeypatch):
             rows = [(i, b"".join(r.choice(parts) if r.random() < 0.7 else bytes(r.choices(letters, k=r.randint(0, 120))) for _ in range(r.randint(0, 12)))) for i in range(25)]
             rows += [(100 + i, letters[:1] * r.randint(0, 300)) for i in range(4)]
             r.shuffle(rows)
+            monkeypatch.setattr(prefix_free_dedup, "RUN_BITS", k % 4)
             want = {i: (n, gone, kept) for i, (n, gone, _, kept) in plain_repeats(rows).items()}
             for hot in (0, 20, 50_000):  # every trigger hot, some, none
                 got, steps = answered_in_memory(rows, 3, hot)
@@ -379,7 +380,8 @@ def test_repeats_when_documents_are_cut(monkeypatch):
 
 def test_phrases_that_share_a_hash(monkeypatch):
     """Equality goes by bytes: hashes that say nothing change no result."""
-    monkeypatch.setattr(prefix_free_dedup, "string_hashes_at", lambda words, at, seed=0: np.zeros(len(at), np.uint64))
+    first = prefix_free_dedup.string_hashes_at
+    monkeypatch.setattr(prefix_free_dedup, "string_hashes_at", lambda words, at: (np.zeros(len(at), np.uint64), first(words, at)[1]))
     r = random.Random(5)
     parts = [bytes(r.choices(b"abc", k=r.choice((30, 60, 120)))) for _ in range(6)]
     rows = [(i, b"".join(r.choices(parts, k=r.randint(0, 4)))) for i in range(15)]
