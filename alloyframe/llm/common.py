@@ -23,11 +23,13 @@ _own: dict[str, str] = {}
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir).
 
-    Where the setting is absent, as in tests on one machine, a temporary folder of this process is
-    used and set as the session's checkpoint folder.
+    Where the setting is absent and all work is in this process, as in tests, a temporary folder is used and set as
+    the session's checkpoint folder. Elsewhere its absence is an error, since other machines could not read it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="alloyframe-")
@@ -57,15 +59,36 @@ def drop_staged(*tables: DataFrame) -> None:
             drop_path(df.sparkSession, file.rsplit("/", 1)[0])
 
 
-def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of a staged table if its row count is within the bound; else leave the join to shuffle."""
-    return F.broadcast(df) if df.count() <= most else df
+def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS, wide: str | None = None) -> DataFrame:
+    """Hint a broadcast of a staged table if its row count is within the bound; else leave the join to shuffle.
+
+    With an array column named, the bound is on rows and array elements together.
+    """
+    n = df.agg(F.sum(F.size(wide) + 1)).first()[0] or 0 if wide else df.count()
+    return F.broadcast(df) if n <= most else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_key(text: Column) -> Column:
+    """256 bits that tell texts apart; null for a null."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def row_key() -> Column:
+    """The doc_id by which decisions name a row; one without an id is named by its text and comes after all others."""
+    other = F.shiftrightunsigned(F.xxhash64("text", F.lit("row")), 2) + F.lit(1 << 62)
+    return F.coalesce(F.col("doc_id").cast("long"), other)
+
+
+def kept_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """(row, key) of the rows of docs whose key is not in gone (key); row holds their columns, whatever their names."""
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), row_key().alias("key"))
+    return rows.join(maybe_broadcast(gone), "key", "left_anti")
+
+
 def held_out(doc_id: Column, parts: int, rest: int) -> Column:
     """Whether crc32 of the id's text leaves this remainder; a null id is not held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % parts == rest, F.lit(False))
@@ -152,14 +175,20 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return e.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
-def class_sample(rows: DataFrame, label: str, most: int, key: str = "doc_id") -> DataFrame:
-    """(key, label) of about `most` rows of each label at most, by a hash of the key; all rows of rarer labels.
+#: Labels that a sample takes in at most: the most frequent ones.
+MOST_LABELS = 200
+
+
+def in_class_sample(rows: DataFrame, label: str, most: int, key: str = "doc_id", labels: int = MOST_LABELS) -> Column:
+    """A condition that about `most` rows of each label meet at most, by a hash of the key; all rows of rarer labels.
 
-    Only the two columns are read, and counted by label; the number of labels is what the driver gathers.
+    Rows of other labels than the most frequent ones (of equal ones the first in order), and rows without a key or a
+    label, do not meet it. Only the label is read, and no more than a count for each of those labels is gathered.
     """
-    rows = rows.select(key, label).where(F.col(label).isNotNull() & F.col(key).isNotNull())
-    last = [(r[0], (min(most, r[1]) << 63) // r[1] - 1) for r in rows.groupBy(label).count().collect()]
+    counts = rows.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(label).count()
+    last = [(r[0], (min(most, r[1]) << 63) // r[1] - 1) for r in counts.orderBy(F.desc("count"), label).limit(labels).collect()]
     if not last:
-        return rows.limit(0)
+        return F.lit(False)
     limits = F.create_map(*[x for k, v in last for x in (F.lit(k), F.lit(v).cast("long"))])
-    return rows.where(F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 1) <= limits[F.col(label)])
+    place = F.shiftrightunsigned(F.xxhash64(key, F.lit("sample")), 1)
+    return F.coalesce(F.col(key).isNotNull() & (place <= F.try_element_at(limits, F.col(label))), F.lit(False))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloyframe.llm.common import class_sample, map_slices
+from alloyframe.llm.common import in_class_sample, map_slices
 
 #: Buckets of trigram hashes.
 BITS = 15
@@ -136,12 +136,13 @@ def mixtures(scores: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def train(docs: DataFrame, lang: str = "lang", most: int = TRAIN_DOCS) -> LanguageModel:
-    """Fit on about `most` rows of docs for each non-null language; counts are summed on the executors.
+    """Fit on about `most` rows of docs for each of the most frequent languages; counts are summed on the executors.
 
-    The result has 2^BITS numbers for each language. Without a labelled row it has no language.
+    The result has 2^BITS numbers for each language, of which there are MOST_LABELS at most. Without a labelled row
+    it has no language.
     """
-    picked = class_sample(docs, lang, most).select("doc_id").distinct()
-    rows = docs.select("doc_id", F.col(lang).alias("lang"), "text").where("lang is not null and text is not null").join(F.broadcast(picked), "doc_id", "left_semi")
+    named = docs.select("doc_id", F.col(lang).alias("lang"), "text")
+    rows = named.where("text is not null").where(in_class_sample(named, "lang", most))
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         names, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()

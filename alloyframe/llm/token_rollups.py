@@ -20,11 +20,11 @@ from urllib.parse import quote, unquote
 import public_tokenizers
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alloyframe.llm.bpe_prefix import VOCABULARY, codec
-from alloyframe.llm.common import map_slices, maybe_broadcast, stage
+from alloyframe.llm.common import map_slices, maybe_broadcast, stage, text_key
 
 KEYS = ["source", "lang", "tokenizer"]
 TOTALS = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
@@ -127,11 +127,6 @@ TOKENIZERS = {"words-1": r"[^\x20\x09-\x0D]+", "pieces-1": r"[A-Za-z]+|[0-9]|[^\
 REVISED = r"[^\x20\x09-\x0DA-Za-z0-9]*+[A-Za-z0-9][^\x20\x09-\x0D]*+"
 
 
-def text_key(text: Column) -> Column:
-    """256 bits that tell texts apart; null for a null."""
-    return F.unhex(F.sha2(text.cast("binary"), 256))
-
-
 def measured(docs: DataFrame, tokenizers: Mapping[str, str]) -> DataFrame:
     """(doc_id, source, lang, same, counts): every pattern counted in one pass, and the key of the text.
 

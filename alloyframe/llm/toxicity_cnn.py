@@ -5,6 +5,9 @@ that training has not seen does not hide a stem. Filters that span one, two and
 each filter's largest value goes into a logistic unit. The gradient reaches only the words at the largest values. The
 logit is shifted by a threshold for the text's language, so that 0.5 divides the classes; the language is guessed from
 the same hashed words, never taken from a column.
+
+The network learns from a bounded sample of labelled documents. A fifth of all labelled documents, by a hash, is kept
+from it and sets the thresholds: their logits are counted by language, class and bin on the executors.
 """
 
 from __future__ import annotations
@@ -14,25 +17,27 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alloyframe.llm.common import class_sample, held_out, map_slices, utf8
+from alloyframe.llm.common import MOST_LABELS, held_out, in_class_sample, map_slices, maybe_broadcast, stage, utf8
 
 #: Rows of the embedding table for words, and as many for stems; its width, the filters' widths and how many there are of each.
 ROWS, WIDTH, SPANS, FILTERS = 1 << 17, 16, (1, 2, 3), 16
 #: Bytes of a word's stem, and by how many bits a word's row is shifted to make room for its stem's.
 STEM, SHIFT = 4, 20
 STEMS = (1 << SHIFT) - 1
-#: Labelled documents of each class that training reads at most (about; whole texts).
-TRAIN_DOCS = 3000
+#: Labelled documents of each class that training reads at most (about; whole texts), and the words of the longest.
+TRAIN_DOCS, TRAIN_WORDS = 3000, 5000
 #: Documents that must hold a row's words for the row to be trained; others stay zero.
 LEAST_DOCS = 3
 EPOCHS, BATCH_WORDS, BATCH_DOCS, RATE, SEED = 12, 20_000, 32, 0.01, 7
 #: Steps that training takes at least: few documents are gone through more often.
 LEAST_STEPS = 600
-#: Labelled documents of a language, and of its rarer class, that a threshold of its own takes.
-LEAST_OF_LANGUAGE, LEAST_OF_CLASS = 100, 20
+#: One in so many labelled documents sets thresholds; bins of logits, from -30 to 30.
+CALIBRATE, BINS = 5, 1200
+#: Documents of all languages that count along with those of each one when its threshold is set.
+PRIOR = 50
 #: Words of a long text that are held at a time; neighbouring blocks overlap by the widest filter.
 BLOCK = 1 << 15
 #: Words whose row a worker remembers.
@@ -90,11 +95,6 @@ class ToxicityModel:
     def language(self, rows: np.ndarray) -> int:
         return int(self.languages[rows & STEMS].sum(axis=0).argmax()) if len(rows) and self.languages.shape[1] else -1
 
-    def score(self, rows: np.ndarray) -> float:
-        k = self.language(rows)
-        shift = self.thresholds[k] if k >= 0 else self.thresholds[-1]
-        return float(1 / (1 + np.exp(-np.clip(self.logit(rows) - shift, -30, 30))))
-
 
 def _batches(texts: list[np.ndarray], order: np.ndarray):
     """Indices of texts of like length, BATCH_DOCS of them or about BATCH_WORDS padded words together."""
@@ -183,73 +183,106 @@ def fit(texts: list[np.ndarray], label: np.ndarray, epochs: int = EPOCHS, seed:
     return m
 
 
-def best_threshold(logits: np.ndarray, label: np.ndarray) -> float:
-    """The logit, halfway between neighbours, that divides with the most right answers."""
-    order = np.argsort(logits)
-    x, y = logits[order], label[order]
-    right = np.concatenate([[y.sum()], y.sum() + np.cumsum(1 - 2 * y)])  # by how many are below
-    k = int(right.argmax())
-    return float((x[max(0, k - 1)] + x[min(len(x) - 1, k)]) / 2) if len(x) else 0.0
+def best_threshold(zeros: np.ndarray, ones: np.ndarray) -> float:
+    """The logit that divides counts of both classes by bin with the most right answers, in the middle of equal ones."""
+    if not (zeros.sum() and ones.sum()):
+        return 0.0
+    right = np.concatenate([[0], np.cumsum(zeros)]) + ones.sum() - np.concatenate([[0], np.cumsum(ones)])
+    best = np.flatnonzero(right >= right.max() - 1e-9)
+    return float((best[0] + best[-1]) / 2 * 60 / BINS - 30)
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic): of several rows of a doc_id the largest label holds."""
+    return labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+
+
+def _calibrates() -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(CALIBRATE)) == 0
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> ToxicityModel:
-    """Fit on about `most` labelled documents of each class; a fifth of them, by their order, sets the thresholds.
+    """Fit on about `most` labelled documents of each class, without those that set thresholds; thresholds are 0.
 
-    labels has doc_id and toxic; rows with null are not used, and of several rows of a doc_id the largest label holds.
-    docs has doc_id and text, and lang, which names the groups for which thresholds are set.
+    labels has doc_id and toxic; rows with null are not used. docs has doc_id and text, and lang, which names the
+    groups for which thresholds can be set. Texts of more than TRAIN_WORDS words are not in the sample, so that what
+    the driver gathers is bounded.
     """
-    known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    picked = class_sample(known, "toxic", most)
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(picked), "doc_id")
+    known = _known(labels).where(~_calibrates())
+    picked = stage(known.where(in_class_sample(known, "toxic", most)), "sample")
+    rows = docs.select("doc_id", "text", "lang").join(maybe_broadcast(picked, 100_000), "doc_id")
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = WordRows()
-        return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("toxic"), batch.column("lang"), pa.array([own.of(x).tobytes() for x in utf8(batch.column("text"))], pa.binary())], names=["doc_id", "toxic", "lang", "rows"]
-        )
+        cut = [own.of(x) for x in utf8(batch.column("text"))]
+        small = np.flatnonzero([len(x) <= TRAIN_WORDS for x in cut])
+        part = batch.take(pa.array(small, pa.int64()))
+        return pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), part.column("lang"), pa.array([cut[i].tobytes() for i in small], pa.binary())], names=["doc_id", "toxic", "lang", "rows"])
 
-    data = map_slices(rows, read, "doc_id long, toxic int, lang string, rows binary").toPandas().sort_values("doc_id", kind="stable")
+    data = map_slices(rows, read, "doc_id long, toxic int, lang string, rows binary").toPandas().sort_values(["doc_id", "rows"], kind="stable")
     texts = [np.frombuffer(x, np.int64) for x in data["rows"]]
     label, lang = data["toxic"].to_numpy(), data["lang"].fillna("").to_numpy()
-    check = np.arange(len(texts)) % 5 == 0
-    m = fit([t for t, c in zip(texts, check, strict=True) if not c], label[~check])
-    names = sorted(set(lang))
+    m = fit(texts, label)
+    names = [str(k) for k in data["lang"].fillna("").value_counts().index[:MOST_LABELS]]
     counts = np.full((2 * ROWS, len(names)), 0.01)
     for t, k in zip(texts, lang, strict=True):
-        np.add.at(counts[:, names.index(k)], t & STEMS, 1)
+        if k in names:
+            np.add.at(counts[:, names.index(k)], t & STEMS, 1)
     m.languages = np.log(counts / counts.sum(axis=0)).astype(np.float32)
-    logits = np.array([m.logit(t) for t in texts])
-    guess = np.array([m.language(t) for t in texts])
-    share = np.bincount(label[check], minlength=2) if check.any() else np.ones(2)
-    use = check if share.min() >= LEAST_OF_CLASS else np.ones(len(texts), bool)
-    common = best_threshold(logits[use], label[use])
-    thresholds = []
-    for k in range(len(names)):
-        own = use & (guess == k)
-        enough = own.sum() >= LEAST_OF_LANGUAGE and np.bincount(label[own], minlength=2).min() >= LEAST_OF_CLASS
-        thresholds.append(best_threshold(logits[own], label[own]) if enough else common)
-    m.thresholds = np.array([*thresholds, common])
+    m.thresholds = np.zeros(len(names) + 1)
     return m
 
 
-def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """doc_id, score and predicted (1 if the score is 0.5 or more) of every row's whole text.
-
-    Null and empty texts get the score of a text without words. Repeated rows are judged each for itself, other
-    columns are not read, and an empty table gives an empty result.
-    """
+def logits(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """doc_id, logit and language (its place in the model, -1 for a text without words) of every row's whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     keep = WordRows()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = shared.value
-        got = np.array([own.score(keep.of(x)) for x in utf8(batch.column("text"))])
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(got), pa.array((got >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])
+        cut = [keep.of(x) for x in utf8(batch.column("text"))]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([own.logit(x) for x in cut], pa.float64()), pa.array([own.language(x) for x in cut], pa.int32())], names=["doc_id", "logit", "language"])
+
+    return map_slices(docs.select("doc_id", "text"), run, "doc_id long, logit double, language int")
 
-    return map_slices(docs.select("doc_id", "text"), run, "doc_id long, score double, predicted int")
+
+def calibrated(scored: DataFrame, labels: DataFrame, model: ToxicityModel) -> np.ndarray:
+    """The threshold of each language, and last that of texts without one, from the logits of labelled documents.
+
+    What the driver gathers is a count for each language, class and bin. A language's counts go with those of all
+    languages, as if of PRIOR documents more, so that few labels move its threshold little.
+    """
+    known = _known(labels).where(_calibrates())
+    place = F.greatest(F.lit(0), F.least(F.lit(BINS - 1), F.floor((F.col("logit") + 30) * BINS / 60))).cast("int")
+    counts = scored.join(known, "doc_id").groupBy("language", "toxic", place.alias("bin")).count().collect()
+    n = np.zeros((len(model.thresholds), 2, BINS))
+    for r in counts:
+        n[r["language"], int(r["toxic"] > 0), r["bin"]] += r["count"]
+    every = n.sum(axis=0)
+    prior = every * PRIOR / max(1, every.sum())
+    return np.array([*(best_threshold(*(x + prior)) for x in n[:-1]), best_threshold(*every)])
+
+
+def finished(scored: DataFrame, model: ToxicityModel) -> DataFrame:
+    """doc_id, score and predicted (1 if the score is 0.5 or more) from logits and the model's thresholds."""
+    shift = F.element_at(F.array(*(F.lit(float(x)) for x in model.thresholds)), F.when(F.col("language") < 0, len(model.thresholds)).otherwise(F.col("language") + 1))
+    part = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("logit") - shift))
+    return scored.select("doc_id", (1 / (1 + F.exp(-part))).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """doc_id, score and predicted (1 if the score is 0.5 or more) of every row's whole text.
+
+    Null and empty texts get the score of a text without words. Repeated rows are judged each for itself, other
+    columns are not read, and an empty table gives an empty result.
+    """
+    return finished(logits(docs, model), model)
 
 
 def train_and_score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted; labels of held-out documents (crc32 of the id, remainder 0 by 5) are not read."""
-    model = train(docs, labels.where(~held_out(F.col("doc_id"), 5, 0)))
-    return score(docs, model).select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
+    own = labels.where(~held_out(F.col("doc_id"), 5, 0))
+    model = train(docs, own)
+    scored = stage(logits(docs, model), "logits")
+    model.thresholds = calibrated(scored, own, model)
+    return finished(scored, model).select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
