@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloyframe.llm.common import map_slices, maybe_broadcast, stage, utf8
+from alloyframe.llm.common import kept_rows, map_slices, maybe_broadcast, row_key, stage, utf8
 
 _MARKS = bytes(b" "[0] if chr(i) in " \t\n\r\x0b\x0c!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else i for i in range(256))
 #: Words whose hash a worker remembers.
@@ -152,8 +152,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Alignment = Alignme
     """(doc_id, item_id, score, first_word, last_word): items that a document holds, exactly or edited.
 
     The score is the share of the item's full alignment score; a pair appears once, with its best region. Items of
-    fewer than three words have no trigram and give no row, nor does a copy without three words of it in a row; null texts and null ids give none; repeated rows and
-    repeated items count once; other columns are not read; empty tables give an empty result. Texts are read whole.
+    fewer than three words have no trigram and give no row, nor does a copy without three words of it in a row; null
+    texts and null ids give none; repeated rows and repeated items count once; other columns are not read; empty
+    tables give an empty result. Texts are read whole.
     """
     items = stage(item_words(benchmark), "items")
     seeds = stage(item_grams(items), "seeds")
@@ -163,7 +164,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Alignment = Alignme
     places = found.select("rid", F.explode(F.arrays_zip("h", "p")).alias("x")).select("rid", "x.h", "x.p")
     pairs = places.join(maybe_broadcast(seeds, 500_000), "h").groupBy("rid", "item_id").agg(F.min("p").alias("low"), F.max("p").alias("high"))
     pairs = stage(pairs, "pairs")
-    rows = pairs.join(found.select("rid", "doc_id", "start", "words"), "rid").join(maybe_broadcast(items.withColumnRenamed("words", "item"), 20_000), "item_id")
+    rows = pairs.join(found.select("rid", "doc_id", "start", "words"), "rid").join(maybe_broadcast(items.withColumnRenamed("words", "item"), 4_000_000, "item"), "item_id")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: list[tuple] = []
@@ -191,6 +192,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Alignment = Alignme
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, how: Alignment = Alignment()) -> DataFrame:
-    """The rows of docs that hold no item."""
-    gone = stage(contaminated(docs, benchmark, how).select("doc_id").distinct(), "contaminated")
-    return docs.join(maybe_broadcast(gone), "doc_id", "left_anti").select(docs.columns)
+    """The rows of docs that hold no item; rows without a doc_id are judged by their text like all others."""
+    found = contaminated(docs.select(row_key().alias("doc_id"), "text"), benchmark, how)
+    gone = stage(found.select(F.col("doc_id").alias("key")).distinct(), "contaminated")
+    return kept_rows(docs, gone).select("row.*")

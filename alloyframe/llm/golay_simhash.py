@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloyframe.llm.common import components, map_slices, maybe_broadcast, stage, utf8
+from alloyframe.llm.common import components, kept_rows, map_slices, maybe_broadcast, row_key, stage, utf8
 
 SEED, SHINGLE, BITS = 42, 4, 4
 #: First bit and width of each segment.
@@ -213,6 +213,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is the first of its component."""
-    gone = stage(near_duplicates(docs).where("doc_id != component_id").select("doc_id").distinct(), "near-copies")
-    return docs.join(maybe_broadcast(gone), "doc_id", "left_anti").select(docs.columns)
+    """The rows of docs whose doc_id is the first of its component.
+
+    Rows without a doc_id are named by their text and come after all others; of any name are further columns.
+    """
+    own = near_duplicates(docs.select(row_key().alias("doc_id"), "text"))
+    gone = stage(own.where("doc_id != component_id").select(F.col("doc_id").alias("key")).distinct(), "near-copies")
+    return kept_rows(docs, gone).select("row.*")

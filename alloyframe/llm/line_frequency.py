@@ -2,9 +2,9 @@
 
 Lines are normalised (ASCII lower case, digits as 0, one space between words) and hashed to 128 bits. For each
 host the distinct document contents that hold a line are counted; a text that is repeated byte for byte counts once,
-so copies do not make their own lines frequent, while texts that differ in digits, case or spacing each count. A line in more contents of a host than the limit goes from all
-documents but the first of them (smallest doc_id), and a document that loses too large a share of its words is
-rejected as depleted.
+so copies do not make their own lines frequent, while texts that differ in digits, case or spacing each count. A line
+in more contents of a host than the limit goes from all documents but the first of them (smallest doc_id), and a
+document that loses too large a share of its words is rejected as depleted.
 """
 
 from __future__ import annotations
@@ -16,8 +16,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from alloyframe.llm.common import map_slices, maybe_broadcast, stage, utf8
+from alloyframe.llm.common import kept_rows, map_slices, maybe_broadcast, row_key, stage, utf8
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -85,8 +86,8 @@ def _measure(batch: pa.RecordBatch) -> pa.RecordBatch:
         out["line_words"].append(list(own.values()))
     kinds = {"content": pa.binary(), "line": pa.list_(pa.binary()), "line_words": pa.list_(pa.int64())}
     return pa.RecordBatch.from_arrays(
-        [batch.column(k) for k in ("rid", "doc_id", "host", "other")] + [pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()],
-        names=["rid", "doc_id", "host", "other", *out],
+        [batch.column(k) for k in ("rid", "doc_id", "host", "key")] + [pa.array(v, kinds.get(k, pa.int64())) for k, v in out.items()],
+        names=["rid", "doc_id", "host", "key", *out],
     )
 
 
@@ -94,32 +95,25 @@ def _host(host: str) -> Column:
     return F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host")
 
 
-def _other(rows: DataFrame) -> DataFrame:
-    """With the column other, which tells apart rows that have no doc_id."""
-    return rows.withColumn("other", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-
-
 def _judged(docs: DataFrame, host: str, rules: LineRules) -> tuple[DataFrame, DataFrame]:
-    """The columns of line_rules by row, and (host, doc_id, other, line) of the lines that go."""
-    rows = _other(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", _host(host), "text"))
-    seen = stage(
-        map_slices(rows, _measure, "rid long, doc_id long, host string, other long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content binary, line array<binary>, line_words array<long>"),
-        "lines",
-    )
-    contents = seen.groupBy("host", "content").agg(F.min("doc_id").alias("doc_id"), F.first("line").alias("line"))
-    held = contents.select("host", "doc_id", F.explode("line").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
-    frequent = stage(held.where(F.col("n") > rules.max_contents).select("host", "line", "first_doc"), "frequent")
-    places = seen.select("rid", "doc_id", "host", "other", F.explode(F.arrays_zip("line", "line_words")).alias("x")).select("rid", "doc_id", "host", "other", "x.line", "x.line_words")
-    gone = places.join(maybe_broadcast(frequent, 200_000), ["host", "line"]).where(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    """The columns of line_rules and the key by row, and (host, key, line) of the lines that go."""
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", row_key().alias("key"), _host(host), "text")
+    schema = "rid long, doc_id long, host string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content binary, line array<binary>, line_words array<long>"
+    seen = stage(map_slices(rows, _measure, schema), "lines")
+    contents = seen.groupBy("host", "content").agg(F.min("key").alias("key"), F.first("line").alias("line"))
+    held = contents.select("host", "key", F.explode("line").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"), F.min("key").alias("first_key"))
+    frequent = stage(held.where(F.col("n") > rules.max_contents).select("host", "line", "first_key"), "frequent")
+    places = seen.select("rid", "key", "host", F.explode(F.arrays_zip("line", "line_words")).alias("x")).select("rid", "key", "host", "x.line", "x.line_words")
+    gone = places.join(maybe_broadcast(frequent, 200_000), ["host", "line"]).where("key != first_key")
     lost = gone.groupBy("rid").agg(F.sum("line_words").alias("lost_words"))
     bad = (F.col("n_words") < rules.min_words) | (100 * F.col("n_repeat_words") > rules.max_repeat_percent * F.col("n_words"))
     judged = (
-        seen.drop("content", "line", "line_words", "host", "other").join(lost, "rid", "left").drop("rid")
+        seen.drop("content", "line", "line_words", "host").join(lost, "rid", "left").drop("rid")
         .withColumn("lost_words", F.coalesce("lost_words", F.lit(0).cast("long")))
         .withColumn("base_failed", bad)
         .withColumn("kept", ~bad & (100 * F.col("lost_words") <= rules.max_lost_percent * F.col("n_words")))
     )
-    return judged, gone.select("host", "doc_id", "other", "line")
+    return judged, gone.select("host", "key", "line")
 
 
 def line_rules(docs: DataFrame, host: str = "source", rules: LineRules = LineRules()) -> DataFrame:
@@ -129,7 +123,7 @@ def line_rules(docs: DataFrame, host: str = "source", rules: LineRules = LineRul
     fails the base rules; a null host is one host of its own; repeated rows are judged each for itself and count
     as one content; an empty table gives an empty result. Texts are measured whole.
     """
-    return _judged(docs, host, rules)[0]
+    return _judged(docs, host, rules)[0].drop("key")
 
 
 def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -144,20 +138,20 @@ def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
 def keep_documents(docs: DataFrame, host: str = "source", rules: LineRules = LineRules()) -> DataFrame:
     """The rows of docs that the rules keep, less the lines above the limit, with n_chars brought up to date.
 
-    A line stays in the first of its documents. Rows that share a doc_id stand or fall together; rows without one
-    stay, less those lines. Rows that lose nothing are unchanged.
+    A line stays in the first of its documents. Rows that share a doc_id stand or fall together, and rows without one
+    that share a text; these come after all others. Rows that lose nothing are unchanged.
     """
     judged, lines = _judged(docs, host, rules)
-    gone = stage(judged.where("not kept and doc_id is not null").select("doc_id").distinct(), "rejected")
-    # which lines a row loses follows from its host and doc_id, so that rows which share them may share the list
-    cut = stage(lines.join(maybe_broadcast(gone), "doc_id", "left_anti").groupBy("host", "doc_id", "other").agg(F.collect_set("line").alias("cut")), "cut")
+    gone = stage(judged.where("not kept").select("key").distinct(), "rejected")
+    # which lines a row loses follows from its host and key, so that rows which share them may share the list
+    cut = stage(lines.join(maybe_broadcast(gone), "key", "left_anti").groupBy("host", "key").agg(F.collect_set("line").alias("cut")), "cut")
     small = (cut.agg(F.sum(F.size("cut") + 1)).first()[0] or 0) <= CUT_LINES
-    cut = (F.broadcast(cut) if small else cut).select(*(F.col(k).alias(f"_{k}") for k in ("host", "doc_id", "other")), F.col("cut").alias("_cut"))
-    kept = docs.join(maybe_broadcast(gone), "doc_id", "left_anti").select(F.struct(*(F.col(c) for c in docs.columns)).alias("row"), "doc_id", _host(host), "text")
-    on = F.col("host").eqNullSafe(F.col("_host")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("other").eqNullSafe(F.col("_other"))
-    both = stage(_other(kept).join(cut, on, "left").select("row", F.col("_cut").alias("cut")), "kept")
+    kept = kept_rows(docs, gone).withColumn("host", F.coalesce(F.col("row").getField(host).cast("string"), F.lit("")))
+    both = stage(kept.join(F.broadcast(cut) if small else cut, ["host", "key"], "left").select("row", "cut"), "kept")
     same = both.where("cut is null").select("row.*")
-    less = map_slices(both.where("cut is not null").select("row.*", "cut"), _cut, docs.schema)
+    text = F.col("row").getField("text")
+    less = map_slices(both.where("cut is not null").select("row", text.alias("text"), "cut"), _cut, StructType([StructField("row", docs.schema), StructField("text", StringType())]))
+    new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        less = less.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return same.unionByName(less.select(docs.columns))
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return same.unionByName(less.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns)))

@@ -204,6 +204,49 @@ def test_copies_with_regular_edits(spark):
             assert all(got[k] >= 0.65 for k in some)
 
 
+def plain_contaminated(docs, items, how=decontamination.Alignment()):
+    """Every item against every whole document that has three of its words in a row."""
+    known, out = decontamination.WordHashes(), {}
+    cut = {d: known.of(t.encode()) for d, t in docs.items()}
+    for i, text in items.items():
+        item = known.of(text.encode())
+        grams = set(decontamination.trigram_hashes(item).tolist())
+        for d, words in cut.items():
+            if grams.intersection(decontamination.trigram_hashes(words).tolist()):
+                score = decontamination.align(item, words, how)[0] / (how.match * len(item))
+                if score >= how.least:
+                    out[d, i] = score
+    return out
+
+
+def test_contamination_of_documents(spark):
+    items = dict(duckdb.connect().execute(f"SELECT item_id, coalesce(text, '') FROM '{DATA}/benchmark.parquet'").fetchall())
+    got = {(r.doc_id, r.item_id): r.score for r in queries.op3_decontamination(spark, DATA).collect()}
+    assert got == plain_contaminated(texts(), items) and len(got) >= 3
+
+
+def test_contamination_by_edits(spark):
+    """Random edits at several rates, and items that share a phrase: what is due and has a seed is found."""
+    r = random.Random(9)
+    vocabulary = ["".join(r.choice("aeioulnrst") for _ in range(r.randint(2, 7))) for _ in range(500)]
+    text = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    phrase = text(6)
+    items = {i: (phrase if i % 2 else []) + text(24) for i in range(30)}
+    docs, rate_of = {}, {}
+    for k, rate in enumerate((0.0, 0.1, 0.2, 0.3)):
+        for i, words in items.items():
+            own = []
+            for w in words:
+                own += r.choice([[r.choice(vocabulary)], [], [w, r.choice(vocabulary)]]) if r.random() < rate else [w]
+            docs[100 * k + i], rate_of[100 * k + i] = " ".join(text(50) + own + text(50)), rate
+    rows = spark.createDataFrame(sorted(docs.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = {(x.doc_id, x.item_id): x.score for x in decontamination.contaminated(rows, bench).collect()}
+    assert got == plain_contaminated(docs, {i: " ".join(w) for i, w in items.items()})
+    found = {rate: np.mean([(d, d % 100) in got for d in docs if rate_of[d] == rate]) for rate in (0.0, 0.1, 0.2, 0.3)}
+    assert found[0.0] == found[0.1] == 1 and found[0.2] >= 0.9
+
+
 def test_alignment_against_a_plain_table():
     r, how = np.random.default_rng(1), decontamination.Alignment()
     for _ in range(30):
@@ -307,6 +350,44 @@ def test_zip64_end_record():
     assert zip_warc.ZipReader(io.BytesIO(raw), len(raw)).read(name.decode()) == data
 
 
+def other_record(kind, block, content_type="application/http; msgtype=response", crlf="\r\n", **more):
+    head = {"warc-type": kind, "WARC-Record-Id": f"<urn:uuid:{hashlib.md5(block).hexdigest()}>", "Content-Type": content_type, "Content-length": len(block)} | {k.replace("_", "-"): v for k, v in more.items()}
+    return ("WARC/1.0\r\n" + "".join(f"{k}:{v}{crlf}" for k, v in head.items()) + "\r\n").encode() + block + b"\r\n\r\n"
+
+
+def test_packages_of_other_writers(spark, tmp_path):
+    """Several WARC members, packed or not, real index lines, a packed index, no index, other record types and ids."""
+    import gzip
+    import json
+
+    chunked = b"HTTP/1.1 200 OK\r\ntransfer-encoding: chunked\r\n\r\n3\r\nabc\r\n2;x=y\r\nde\r\n0\r\n\r\n"
+    records = [
+        other_record("warcinfo", b"software: x\r\n", "application/warc-fields"), other_record("response", b"HTTP/1.1 200 OK\r\n\r\n" + b"body " * 300_000, WARC_Target_URI="http://a/"),
+        other_record("response", chunked, WARC_Payload_Digest="sha1:" + hashlib.sha1(b"abcde").hexdigest()), other_record("revisit", b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\n", WARC_Refers_To="<urn:uuid:1>", WARC_Payload_Digest="sha1:XYZ"),
+        other_record("resource", b"", "text/plain"),
+    ]
+    for how in ("walked", "lines", "packed"):
+        with zipfile.ZipFile(tmp_path / f"{how}.wacz", "w", zipfile.ZIP_STORED) as z:
+            lines = []
+            for name, data in (("a.warc.gz", [gzip.compress(r) for r in records]), ("b.warc", records)):
+                z.writestr(f"archive/{name}", b"".join(data))
+                at = 0
+                for x in data:
+                    lines.append(f"com,a)/ 2020 {json.dumps({'url': 'http://a/', 'filename': name, 'offset': str(at), 'length': len(x)})}")
+                    at += len(x)
+            text = "\n".join(["!meta {}", *reversed(lines)]).encode()
+            if how == "lines":
+                z.writestr("indexes/index.cdxj", text, zipfile.ZIP_DEFLATED)
+            if how == "packed":
+                z.writestr("indexes/index.cdx.gz", gzip.compress(text))
+            z.writestr("pages/pages.jsonl", "{}")
+    paths = [(str(x), x.stat().st_size) for x in tmp_path.iterdir()]
+    ranges = zip_warc.list_ranges(spark.createDataFrame(paths, "path string, size long"), 2000)
+    got = [(r.record_type, r.payload_bytes, r.payload_digest if r.record_type == "revisit" else r.payload_digest == zip_warc.base32_sha1(r.payload), r.page_id, r.refers_to_id) for r in zip_warc.read_ranges(ranges, payload=True).collect()]
+    one = [("warcinfo", 13, True, None, None), ("response", 1_500_000, True, None, None), ("response", 5, True, None, None), ("revisit", 5, "XYZ", None, "<urn:uuid:1>"), ("resource", 0, True, None, None)]
+    assert sorted(got, key=repr) == sorted(one * 6, key=repr)
+
+
 def test_pipeline(spark):
     """Each stage against what its operator is tested for, on the rows that the stage before it kept."""
     docs = table(spark, DATA, "documents")

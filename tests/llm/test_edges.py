@@ -2,13 +2,14 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from alloyframe.llm import (
     bpe_prefix, decontamination, golay_simhash, language_mixture, license_diagonals, line_frequency, prefix_free_dedup, token_rollups, toxicity_cnn, zip_warc,
 )
-from alloyframe.llm.common import class_sample, components, scratch
+from alloyframe.llm.common import components, in_class_sample, scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h long, key string, label string, words int, slice int, fp string, rid long"
 LONG = "lorem ipsum dolor sit amet " * 20_000
@@ -217,19 +218,31 @@ def test_toxicity(spark, docs, empty):
 
 
 def test_archives(spark):
-    rows = [(1, None, None), (2, "u", ""), (3, "u\r\nX: y", "é" * 300_000), (4, "v", "same"), (9, "v", "same"), (7, None, "same"), (9, "v", "same"), (None, "w", "gone")]
+    rows = [(1, None, None), (2, "u", ""), (3, "u\r\nX: y", "é" * 300_000), (4, "v", "same"), (9, "v", "same"), (7, None, "same"), (9, "v", "same"), (None, "w", "alone"), (None, "w", "same")]
     pages = spark.createDataFrame([(*r, "x", 1) for r in rows], "page_id long, url string, html string, refers_to string, size int")
     got = zip_warc.archive_pages(pages).collect()
-    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got if r.page_id not in (4, 7, 1)) == [(2, 0, "response", None), (3, 600_000, "response", None), (9, 4, "response", None), (9, 4, "response", None)]
-    assert sorted((r.page_id, r.refers_to) for r in got if r.record_type == "revisit") == [(1, 2), (4, 9), (7, 9)]
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got if r.page_id not in (4, 7, 1, None)) == [(2, 0, "response", None), (3, 600_000, "response", None), (9, 4, "response", None), (9, 4, "response", None)]
+    assert sorted((r.page_id or 0, r.refers_to) for r in got if r.record_type == "revisit") == [(0, 9), (1, 2), (4, 9), (7, 9)]
+    assert len(got) == len(rows) and [(r.record_type, r.payload_bytes) for r in got if r.page_id is None and r.refers_to is None] == [("response", 5)]
     assert {r.record_type for r in zip_warc.archive_pages(pages.where("length(html) = 4"), least_bytes=5).collect()} == {"response"}
     assert zip_warc.archive_pages(pages.limit(0)).count() == 0
 
 
 def test_sample_of_a_large_class(spark):
-    got = class_sample(spark.range(10_000_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3, "rare").otherwise("large").alias("label")), "label", 4)
-    n = {r[0]: r[1] for r in got.groupBy("label").count().collect()}
+    rows = spark.range(10_000_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3, "rare").otherwise("large").alias("label"))
+    n = {r[0]: r[1] for r in rows.where(in_class_sample(rows, "label", 4)).groupBy("label").count().collect()}
     assert n["rare"] == 3 and 1 <= n.get("large", 0) <= 12
+    # the limit itself, for a share below 1e-7: the sample is drawn from the whole 63 bits
+    one = spark.createDataFrame([(None, "a"), (1, None), (2, "b"), (3, "c"), (4, "c")], "doc_id long, label string")
+    assert sorted(r.doc_id for r in one.where(in_class_sample(one, "label", 9, labels=1)).collect()) == [3, 4]
+    assert one.where(in_class_sample(one.limit(0), "label", 9)).count() == 0
+
+
+def test_thresholds():
+    bins = toxicity_cnn.BINS
+    counts = lambda *at: np.bincount(np.array(at, int), minlength=bins).astype(float)
+    assert toxicity_cnn.best_threshold(counts(1, 2, 3), counts(7, 8)) == pytest.approx((4 + 7) / 2 * 60 / bins - 30)
+    assert toxicity_cnn.best_threshold(counts(), counts(5)) == 0
 
 
 def test_components(spark):
@@ -250,4 +263,20 @@ def test_pipeline_stages(spark, docs, empty):
             assert kept.columns == docs.columns
         ids = sorted(r.doc_id for r in kept.where("doc_id is not null").collect())
         assert ids == ([] if start is empty else ids) and corpus_pipeline.STAGES[-1][1](spark, kept, data).count() == kept.count()
-    assert {r.doc_id for r in corpus_pipeline.quality(spark, docs, data).collect()} >= {None} and 1 not in {r.doc_id for r in corpus_pipeline.quality(spark, docs, data).collect()}
+    assert not {None, 1} & {r.doc_id for r in corpus_pipeline.quality(spark, docs, data).collect()}  # too few words, with an id or not
+
+
+def test_pipeline_rows_without_ids(spark):
+    """Rows without a doc_id stand or fall by their text, as others do; columns of any name come along."""
+    import corpus_pipeline
+
+    data, r = "/root/testdata/sf0.001", random.Random(8)
+    words = lambda n: " ".join("".join(r.choice("aeioulnrst") for _ in range(6)) for _ in range(n))
+    a, b, item = words(80), words(80), spark.read.parquet(f"{data}/benchmark.parquet").first().text
+    rows = [(1, a), (None, a), (None, b), (None, b), (None, "short"), (None, f"{words(60)} {item} {words(60)}"), (5, words(80))]
+    names = "doc_id long, text string, lang string, source string, n_chars long, n_bytes string, `row` int, key int, host string, cut int, kept_text int, words int, `a b` int"
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "nb", 1, 2, "h", 3, 4, 5, 6) for i, t in rows], names)
+    for _, function in corpus_pipeline.STAGES[:-1]:
+        docs = function(spark, docs, data).cache()
+    assert sorted(((x.doc_id or 0, x.text) for x in docs.collect())) == sorted([(1, a), (0, b), (0, b), (5, rows[6][1])])
+    assert {tuple(x)[5:] for x in docs.collect()} == {("nb", 1, 2, "h", 3, 4, 5, 6)}
