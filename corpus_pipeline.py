@@ -3,9 +3,10 @@
 Each stage is a function (spark, docs, sf_dir) to a DataFrame and works on all that the stage before it kept. All but
 the last return the columns of documents, and pass on further columns as they are.
 
-Null and empty texts fail the base rules and go in the first stage. Rows that share a doc_id stand or fall together.
-Rows without a doc_id cannot be named by a decision and so stay in every stage, less frequent lines and the passages
-that documents with an id have. Repeated rows stay repeated; an empty table gives an empty result; texts of any length are read whole.
+Null and empty texts fail the base rules and go in the first stage. Rows that share a doc_id stand or fall together,
+and so do rows without a doc_id that share a text; these come after all others where a first document is looked for.
+Repeated rows stay repeated; an empty table gives an empty result; texts of any length are read whole; further columns
+may have any names.
 """
 
 from __future__ import annotations
