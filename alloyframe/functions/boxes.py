@@ -8,7 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Raster resolution, padding of a crop, slack of containment; share of a page and least size of a box;
+#: shares by which a box grows; shares of a page above and below a caption; border that is cut; where axes may cross.
 DPI, PAD, SLACK = 300, 30, 15
+LEAST_SHARE, MOST_SHARE, LEAST_WIDTH, LEAST_HEIGHT = 0.03, 0.8, 220, 180
+GROW_LEFT, GROW_RIGHT, GROW_TOP, GROW_BOTTOM = 0.10, 0.06, 0.06, 0.18
+ABOVE_CAPTION, BELOW_CAPTION = 0.95, 0.20
+BORDER, LEAST_TRIMMED = 2, 8
+RIGHTMOST_AXIS, TOPMOST_AXIS = 0.95, 0.05
 
 
 def to_pixels(points: Column, dpi: int = DPI) -> Column:
@@ -18,11 +25,11 @@ def to_pixels(points: Column, dpi: int = DPI) -> Column:
 def good_share(w: Column, h: Column, page_w: Column, page_h: Column) -> Column:
     """Whether a box takes more than 3 % and less than 80 % of its page."""
     share = (w * h) / (page_w * page_h)
-    return (share > 0.03) & (share < 0.8)
+    return (share > LEAST_SHARE) & (share < MOST_SHARE)
 
 
 def large_enough(w: Column, h: Column) -> Column:
-    return (w >= 220) & (h >= 180)
+    return (w >= LEAST_WIDTH) & (h >= LEAST_HEIGHT)
 
 
 def padded(x: Column, y: Column, w: Column, h: Column, page_w: Column, page_h: Column, pad: int = PAD) -> Column:
@@ -38,7 +45,7 @@ def safe_crop(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, hei
     return F.when(a.isNotNull() & b.isNotNull() & c.isNotNull() & d.isNotNull() & (box["x1"] > box["x0"]) & (box["y1"] > box["y0"]), box)
 
 
-def grown(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, height: Column, left: float = 0.10, right: float = 0.06, top: float = 0.06, bottom: float = 0.18) -> Column:
+def grown(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, height: Column, left: float = GROW_LEFT, right: float = GROW_RIGHT, top: float = GROW_TOP, bottom: float = GROW_BOTTOM) -> Column:
     """A box made larger by shares of its size, whole pixels, within the image."""
     w, h = x1 - x0, y1 - y0
     return F.struct(
@@ -50,11 +57,11 @@ def grown(x0: Column, y0: Column, x1: Column, y1: Column, width: Column, height:
 def search_region(caption_y0: Column, caption_y1: Column, page_h: Column) -> Column:
     """Top and bottom of the part of a page in which a caption's plot is looked for."""
     return F.struct(
-        F.greatest(F.lit(0), caption_y0 - F.floor(page_h * 0.95).cast("int")).alias("top"), F.least(page_h, caption_y1 + F.floor(page_h * 0.20).cast("int")).alias("bottom")
+        F.greatest(F.lit(0), caption_y0 - F.floor(page_h * ABOVE_CAPTION).cast("int")).alias("top"), F.least(page_h, caption_y1 + F.floor(page_h * BELOW_CAPTION).cast("int")).alias("bottom")
     )
 
 
-def trimmed(width: Column, height: Column, border: int = 2, least: int = 8) -> Column:
+def trimmed(width: Column, height: Column, border: int = BORDER, least: int = LEAST_TRIMMED) -> Column:
     """The corners of an image without its border, if it is large enough to lose it."""
     large = (width > least) & (height > least)
     cut = F.when(large, border).otherwise(0)
@@ -64,7 +71,7 @@ def trimmed(width: Column, height: Column, border: int = 2, least: int = 8) -> C
 def axes_cross(x_axis_y: Column, y_axis_x: Column, width: Column, height: Column) -> Column:
     """Whether a horizontal and a vertical line can be the axes of a plot of this size."""
     inside = (x_axis_y >= 0) & (x_axis_y < height) & (y_axis_x >= 0) & (y_axis_x < width)
-    return inside & (y_axis_x <= F.floor(width * 0.95)) & (x_axis_y >= F.floor(height * 0.05))
+    return inside & (y_axis_x <= F.floor(width * RIGHTMOST_AXIS)) & (x_axis_y >= F.floor(height * TOPMOST_AXIS))
 
 
 def inside(box: Column, outer: Column, slack: int = SLACK) -> Column:

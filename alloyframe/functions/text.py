@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from alloyframe.schema import CAPTION_WORDS, STOP_WORDS
-
-CAPTION = r"(?i)^(Fig\.?\s*\d+|Figure\s*\d+)\b"
-PLOT_WORDS = r"(?i)(stress\s*[-–]?\s*strain|stress|strain|tensile|MPa|GPa|kN|yield|elongation)"
+from alloyframe.schema import CAPTION, CAPTION_WORDS, PLOT_WORDS, STOP_WORDS
 
 
 def strip(c: Column) -> Column:

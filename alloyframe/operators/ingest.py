@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from alloyframe.functions.json import envelope_text, extraction
 from alloyframe.functions.text import abbreviation, or_default
+from alloyframe.operators.figures import match_captions
 from alloyframe.schema import TAXONOMY, taxonomy
+from alloyframe.sources.sinks import append_uploads, image_link, write_binaries
 
 CLASSES = tuple(TAXONOMY)
 
@@ -58,6 +60,51 @@ def split_form(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.withColumn("material_abbreviation", F.coalesce(F.nullif(F.col("material_abbreviation"), F.lit("")), abbreviation(F.col("material_name")))), judged.where("reason is not null")
 
 
+def submit_form(rows: DataFrame, store: str) -> tuple[int, DataFrame]:
+    """Append the form rows that pass to the upload store; their number, and the others with the reason."""
+    good, bad = split_form(rows)
+    good = good.persist()
+    try:
+        n = good.count()
+        if n:
+            append_uploads(good, store, "form")
+    finally:
+        good.unpersist()
+    return n, bad
+
+
+def save_matched_images(rows: DataFrame, figures: DataFrame, folder: str) -> DataFrame:
+    """Links (doc_id, material_abbreviation, property_name, caption, image_path) of the images that were written.
+
+    Each figure in order takes the first property left that its caption fits, and its first image is saved under the
+    abbreviation of the document's first row and that property. rows: doc_id, _ord, material_abbreviation,
+    property_name; figures: doc_id, ord, caption, image_data.
+    """
+    matched = match_captions(figures, rows.select("doc_id", F.col("_ord").alias("ord"), "property_name"))
+    abbreviation_of = rows.groupBy("doc_id").agg(F.min_by("material_abbreviation", "_ord").alias("material_abbreviation"))
+    images = figures.where(F.size("image_data") > 0).groupBy("doc_id", "caption").agg(F.min_by(F.get("image_data", F.lit(0)), "ord").alias("image"))
+    named = matched.join(images, ["doc_id", "caption"]).join(abbreviation_of, "doc_id").withColumn("image_path", image_link(F.col("material_abbreviation"), F.col("property_name")))
+    # two documents may speak of the same material and property: the later one's image would replace the other
+    last = named.groupBy("image_path").agg(F.max_by(F.struct("doc_id", "material_abbreviation", "property_name", "caption", F.col("image.bytes").alias("bytes")), "doc_id").alias("l")).select("image_path", "l.*")
+    files = last.select(F.substring_index("image_path", "/", -1).alias("filename"), "bytes")
+    written = write_binaries(files, folder)
+    return last.drop("bytes").join(written.select(F.concat(F.lit("images/"), "filename").alias("image_path")), "image_path").select("doc_id", "material_abbreviation", "property_name", "caption", "image_path")
+
+
+def ingest(rows: DataFrame, material_class: str, store: str, figures: DataFrame | None = None, folder: str | None = None) -> DataFrame | None:
+    """Extracted rows into the upload store under the class that the user chose, their figures' images first.
+
+    The class is checked before anything is written. Returns the links of the images, if figures were given.
+    """
+    classed = classify_rows(rows, material_class)
+    links = None
+    if figures is not None:
+        links = save_matched_images(classed, figures, folder).persist()
+        links.count()
+    append_uploads(classed, store, "pdf")
+    return links
+
+
 def categories(rows: DataFrame, material_class: str) -> DataFrame:
     """The categories of a class in the order of the form; rows is any frame of the session."""
     own = taxonomy(rows.sparkSession).where(F.col("material_class") == material_class)

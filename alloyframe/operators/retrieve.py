@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from alloyframe.functions.vectors import squared_distance
+from alloyframe.operators.order import numbered_by
 from alloyframe.plugins import Generator
 
 K = 5
@@ -48,7 +49,7 @@ def type_counts(items: DataFrame, kinds: tuple[str, ...] = ("text", "table", "im
 
 def running_counts(items: DataFrame, kind: str = "type", order: str = "ord") -> DataFrame:
     """Items with how many of their kind have come, themselves included."""
-    return items.withColumn("seen", F.row_number().over(W.partitionBy(kind).orderBy(order)).cast("long"))
+    return numbered_by(items, [kind], [order], "seen", 1)
 
 
 def nearest(queries: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
@@ -79,6 +80,16 @@ def retrieve(query: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
     return items.drop("embedding").join(found, "id").orderBy("query_id", "rank")
 
 
+def context_parts(items: DataFrame) -> DataFrame:
+    """items with kind and what a model is given of them: text for texts and tables, else the image."""
+    texts = F.coalesce(F.col("type").isin("text", "table"), F.lit(False))
+    return items.withColumns({"kind": F.when(texts, "text").otherwise("image"), "context_text": F.when(texts, F.col("text")), "context_image": F.when(~texts, F.col("image"))})
+
+
 def answer(prompt: str, matched: DataFrame, generator: Generator) -> str:
-    """What the generator says to the prompt given the k matched items, which are gathered on the driver."""
-    return generator(prompt, [r.asDict() for r in matched.orderBy("rank").collect()])
+    """What the generator says to the prompt given the k matched items, which are gathered on the driver in order.
+
+    An item is {"text": ...} or {"image": {"format": "png", "bytes": ...}}.
+    """
+    rows = context_parts(matched).orderBy("rank").collect()
+    return generator(prompt, [{"text": r["context_text"]} if r["kind"] == "text" else {"image": {"format": "png", "bytes": r["context_image"]}} for r in rows])

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from alloyframe.functions.classify import fiber_of, matrix_of
+from alloyframe.operators.order import numbered_by
 
 ALL = "All"
 
@@ -24,8 +24,8 @@ def first_distinct(rows: DataFrame, *columns: str, order: str = "_ord") -> DataF
 
 
 def numbered(rows: DataFrame, *order: str, name: str = "row") -> DataFrame:
-    """Rows numbered from 0 in an order that the columns decide; for results of a size to be shown."""
-    return rows.withColumn(name, (F.row_number().over(W.orderBy(*order)) - 1).cast("long"))
+    """Rows numbered from 0 in an order that the columns decide."""
+    return numbered_by(rows, [], order, name)
 
 
 def material_list(facts: DataFrame, mode: str = "parity") -> DataFrame:

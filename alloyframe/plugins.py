@@ -67,4 +67,4 @@ def is_yes(answer: str | None) -> bool:
 
 def listing(prompt: str, context: Sequence[dict]) -> str:
     """Stand-in generator: the matched texts under the prompt."""
-    return "\n".join([prompt, *(str(c.get("text") or c.get("path") or "") for c in context)])
+    return "\n".join([prompt, *(str(c.get("text") or "an image") for c in context)])

@@ -50,6 +50,11 @@ CAPTION_WORDS = (
 )
 STOP_WORDS = ("the", "of", "at", "in", "a", "an")
 
+#: How a caption begins, and words that speak of stress and strain; white space, digits and word ends are
+#: Unicode's, and so are letters of either case.
+CAPTION = r"(?iU)^(Fig\.?\s*\d+|Figure\s*\d+)\b"
+PLOT_WORDS = r"(?iU)(stress\s*[-–]?\s*strain|stress|strain|tensile|MPa|GPa|kN|yield|elongation)"
+
 #: Property names by class and category, in the order in which a form offers them.
 TAXONOMY = {
     "Polymer": {

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import struct
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -55,10 +56,24 @@ def page_blocks(files: DataFrame, reader: Callable[[bytes], list[tuple]]) -> Dat
     return files.select("content", file_stem(F.col("path")).alias("doc_id")).mapInPandas(run, "doc_id string, page int, ord int, x0 double, y0 double, x1 double, y1 double, text string")
 
 
-def page_tables(files: DataFrame, reader: Callable[[bytes], list[tuple]]) -> DataFrame:
-    """Cells (doc_id, page, table_idx, row_idx, col_idx, cell) by a reader of (page, rows) tables, pages from 1.
+def page_images(files: DataFrame, reader: Callable[[bytes], Iterable[tuple[int, bytes]]]) -> DataFrame:
+    """(doc_id, page, png, page_w, page_h) by a reader of (page, PNG bytes) rasters; the size is in the PNG's head."""
 
-    A file whose reader fails gives no cells.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for doc, content in zip(batch["doc_id"], batch["content"], strict=True):
+                for page, png in reader(content):  # a page at a time, since a page may be large
+                    width, height = struct.unpack(">II", png[16:24])
+                    yield pd.DataFrame({"doc_id": [doc], "page": [page], "png": [png], "page_w": [width], "page_h": [height]})
+
+    return files.select("content", file_stem(F.col("path")).alias("doc_id")).mapInPandas(run, "doc_id string, page int, png binary, page_w int, page_h int")
+
+
+def page_tables(files: DataFrame, reader: Callable[[bytes], list[tuple]], first_page: int = 1) -> DataFrame:
+    """Cells (doc_id, page, table_idx, row_idx, col_idx, cell) by a reader of (page, rows) tables.
+
+    Pages are counted from 1 here; first_page is the number that the reader gives the first. A file whose reader fails
+    gives no cells.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -69,7 +84,7 @@ def page_tables(files: DataFrame, reader: Callable[[bytes], list[tuple]]) -> Dat
                     tables = list(reader(content))
                 except Exception:  # as in a scan of many files: a broken one has no tables
                     tables = []
-                rows += [(doc, page, t, r, c, cell) for t, (page, body) in enumerate(tables) for r, line in enumerate(body) for c, cell in enumerate(line)]
+                rows += [(doc, page + 1 - first_page, t, r, c, cell) for t, (page, body) in enumerate(tables) for r, line in enumerate(body) for c, cell in enumerate(line)]
             yield pd.DataFrame(rows, columns=["doc_id", "page", "table_idx", "row_idx", "col_idx", "cell"])
 
     return files.select("content", file_stem(F.col("path")).alias("doc_id")).mapInPandas(run, "doc_id string, page int, table_idx int, row_idx int, col_idx int, cell string")

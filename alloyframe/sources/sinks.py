@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import json
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +32,10 @@ def append_uploads(rows: DataFrame, path: str, source: str, once_by: str | None
 
 
 def write_sheets(rows: DataFrame, path: str, table: str = "material_table") -> None:
-    """One folder for each material, named by the first 31 characters; names that fall together are an error."""
+    """One folder of CSV for each material, named by the first 31 characters; names that fall together are an error.
+
+    A workbook would be one file written by one task, and no library for it is at hand.
+    """
     named = rows.withColumn("sheet", F.substring(table, 1, 31))
     clash = named.groupBy("sheet").agg(F.count_distinct(table).alias("n")).where("n > 1").limit(1).collect()
     if clash:
@@ -45,7 +48,7 @@ def zip_figures(figures: Iterable[dict], with_json: bool = False) -> bytes:
     figures, sink = list(figures), io.BytesIO()
     with zipfile.ZipFile(sink, "w") as z:
         if with_json:
-            z.writestr("plot_data.json", json.dumps([{"caption": f["caption"], "page": f["page"], "image_count": len(f["image_data"])} for f in figures], indent=4))
+            z.writestr("plot_data.json", metadata_json(figures))
         for f in figures:
             for image in f["image_data"]:
                 z.writestr(image["filename"], image["bytes"])
@@ -64,6 +67,40 @@ def figure_archives(figures: DataFrame, with_json: bool = False) -> DataFrame:
     return figures.groupBy("doc_id").applyInPandas(run, "doc_id string, archive binary")
 
 
+def metadata_json(figures: Iterable[dict], names: bool = False) -> str:
+    """Metadata of a document's figures as one array, indented by 4, ASCII only; with names, those of the images."""
+    out = []
+    for f in figures:
+        own = {"caption": f["caption"], "page": f["page"], "image_count": len(f["image_data"])}
+        out.append(own | {"images": [i["filename"] for i in f["image_data"]]} if names else own)
+    return json.dumps(out, indent=4)
+
+
+def plots_json(plots: Iterable[dict]) -> str:
+    """Kept plots of a document as one array of page, caption and image, indented by 2, Unicode as it is."""
+    return json.dumps([{"page": p["page"], "caption": p["caption"], "image": p["filename"]} for p in plots], indent=2, ensure_ascii=False)
+
+
+def document_json(rows: DataFrame, write: Callable[[Iterable[dict]], str], order: str) -> DataFrame:
+    """(doc_id, json) by one of the above for each document, whose figures fit a task; images' bytes are not read."""
+    if "image_data" in rows.columns:
+        rows = rows.withColumn("image_data", F.transform("image_data", lambda i: F.struct(i["filename"].alias("filename"))))
+    own = [c for c in ("doc_id", "caption", "page", "image_data", "filename", order) if c in rows.columns]
+
+    def run(key, group):
+        import pandas as pd
+
+        return pd.DataFrame({"doc_id": [key[0]], "json": [write(group.sort_values(order, kind="stable").to_dict("records"))]})
+
+    return rows.select(*dict.fromkeys(own)).groupBy("doc_id").applyInPandas(run, "doc_id string, json string")
+
+
+def write_table_texts(texts: DataFrame, folder: str) -> DataFrame:
+    """Write table texts (doc_id, page, table_idx, text) as files by the name of each; returns (filename, path)."""
+    name = table_text_name(F.col("doc_id"), F.col("page"), F.col("table_idx"))
+    return write_binaries(texts.select(name.alias("filename"), F.col("text").cast("binary").alias("bytes")), folder)
+
+
 def write_metadata(figures: DataFrame, path: str, names: bool = False) -> None:
     """Metadata of figures as JSON lines."""
     figures.select(figure_metadata(F.col("caption"), F.col("page"), F.col("image_data"), names).alias("value")).write.mode("overwrite").text(path)

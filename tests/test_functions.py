@@ -109,3 +109,51 @@ def test_pixels(spark):
     levels = df.select(pixels.thumbnail_levels(F.col("png")).alias("levels"), pixels.is_real_plot(F.col("png")).alias("plot"))
     got = levels.select(boxes.difference_bits(F.col("levels"), 9), "plot").collect()
     assert got[0][1] is True and got[1][1] is None
+
+
+def filtered_png(image, kinds):
+    """A PNG whose rows are written with the given filters, pixel by pixel."""
+    import struct
+    import zlib
+
+    h, w, d = image.shape
+    rows = []
+    for y in range(h):
+        line = [kinds[y]]
+        for x in range(w):
+            for c in range(d):
+                at = lambda yy, xx: int(image[yy, xx, c]) if yy >= 0 and xx >= 0 else 0  # noqa: B023, E731
+                a, b, e = at(y, x - 1), at(y - 1, x), at(y - 1, x - 1)
+                p = a + b - e
+                near = min((abs(p - v), k, v) for k, v in enumerate((a, b, e)))[2]
+                line.append((int(image[y, x, c]) - (0, a, b, (a + b) // 2, near)[kinds[y]]) % 256)
+        rows.append(bytes(line))
+    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    colour = {1: 0, 3: 2, 4: 6}[d]
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, colour, 0, 0, 0)) + part(b"IDAT", zlib.compress(b"".join(rows))) + part(b"IEND", b"")
+
+
+def test_png_filters():
+    r = np.random.default_rng(3)
+    for h, w, d in ((1, 1, 3), (7, 1, 1), (1, 9, 4), (12, 8, 3), (5, 17, 1)):
+        image = r.integers(0, 256, (h, w, d), dtype=np.uint8)
+        want = image[:, :, 0] if d == 1 else image[:, :, :3]
+        for kinds in (*([k] * h for k in range(5)), r.integers(0, 5, h).tolist(), r.integers(0, 3, h).tolist()):
+            assert (pixels.decode_png(filtered_png(image, kinds)) == want).all(), (h, w, d, kinds)
+
+
+def test_captions_with_other_spaces(spark):
+    texts = ["Fig.\u00a03 x", "FIGURE\u200312: y", "Fig \u0663", "Figs 3", "see Fig 1", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    assert [r[0] for r in df.select(text.is_caption(F.col("t"))).collect()] == [True, True, True, False, False, None]
+    assert [r[0] for r in spark.createDataFrame([("STRESS\u00a0\u2013\u00a0strain",), ("load",)], "t string").select(text.speaks_of_a_plot(F.col("t"))).collect()] == [True, False]
+
+
+def test_measures_of_plots():
+    strip = np.full((200, 300, 3), 255, np.uint8)
+    assert not pixels.colour_strip(strip) and pixels.colour_count(strip, 24) == 1
+    r = np.random.default_rng(1).integers(0, 256, (200, 21, 3), dtype=np.uint8)
+    strip[:, -21:] = r
+    assert pixels.colour_strip(strip) and not pixels.colour_strip(strip[:100]) and not pixels.colour_strip(strip[:, :, 0])
+    assert pixels.colour_count(r, 24) == len({tuple(x) for x in (r // 24).reshape(-1, 3).tolist()})
+    assert pixels.tick_marks(drawn_plot(), 351, 61) >= 18

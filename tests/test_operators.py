@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from alloyframe import plugins, schema
 from alloyframe.functions import pixels
-from alloyframe.operators import figures, ingest, plots, reconcile, retrieve, search
+from alloyframe.operators import figures, ingest, order, plots, reconcile, retrieve, search
 from alloyframe.plans import queries as plans
 from alloyframe.sources import extractors, sinks, tables
 from alloyframe.streaming import ingest as streams
@@ -74,6 +74,84 @@ def test_nearest_caption(spark):
     assert rows(figures.nearest_caption(box, block, dpi=72).select("ord", "caption"), "ord") == [(0, "Fig 2 b"), (1, "Figure on Page 1 (Unlabeled)")]
 
 
+def test_nearest_caption_of_repeated_rows(spark):
+    """Every box gives a row, repeated ones too, whatever other columns there are; level captions are not below."""
+    box = spark.createDataFrame([("d", 1, 10, 90, 1000, "a"), ("d", 1, 10, 90, 1000, "a"), ("d", 2, 0, 10, 100, None), ("e", 1, 0, 10, 100, "c")], "doc_id string, page int, y int, h int, page_h int, `at` string")
+    block = spark.createDataFrame([("d", 1, 0, 100.0, "Fig 1"), ("d", 1, 1, 399.0, "Fig 2"), ("d", 2, 0, 40.0, "Fig 3"), ("e", 1, 0, 39.9, "no caption")], "doc_id string, page int, ord int, y0 double, text string")
+    assert rows(figures.nearest_caption(box, block, dpi=72).select("doc_id", "page", "at", "caption"), "doc_id", "page") == [
+        ("d", 1, "a", "Fig 2"), ("d", 1, "a", "Fig 2"), ("d", 2, None, "Figure on Page 2 (Unlabeled)"), ("e", 1, "c", "Figure on Page 1 (Unlabeled)")
+    ]
+
+
+def test_numbers_in_order(spark):
+    data = [(i % 3 if i % 5 else None, (i * 37) % 101, f"k{i}") for i in range(300)]
+    df = spark.createDataFrame(data, "g int, v int, key string").repartition(5)
+    got = {r.key: r.n for r in order.numbered_by(df, ["g"], ["v", "key"], "n", 1).collect()}
+    for g in (0, 1, 2, None):
+        own = sorted((v, k) for h, v, k in data if h == g)
+        assert [got[k] for _, k in own] == list(range(1, len(own) + 1))
+    assert [r.key for r in search.numbered(df, "v", "key", name="row").orderBy("row").collect()] == [k for _, k in sorted((v, k) for _, v, k in data)]
+    assert search.numbered(df.limit(0), "v").count() == 0 and search.numbered(df.where("v is null").unionAll(df.limit(1)), "v").first().row == 0
+
+
+def test_forms_and_images(spark, tmp_path):
+    """A form row in, a document's rows with matched images in, and the store as the search then finds it."""
+    store, folder = str(tmp_path / "store"), str(tmp_path / "images")
+    form = [("Polymer", "Thermal", "Decomposition temperature", "poly one", "", "300"), ("Polymer", "Thermal", "Density", "poly one", "", "1"), ("Polymer", "Physical", "Density", "", "", "1")]
+    n, bad = ingest.submit_form(spark.createDataFrame(form, "material_class string, section string, property_name string, material_name string, material_abbreviation string, value string"), store)
+    assert n == 1 and {r.reason for r in bad.collect()} == {"not in the taxonomy", "material_name is empty"}
+    facts = spark.createDataFrame([("d", 0, "PO", "Density", "1.1"), ("d", 1, "PO", "Tensile modulus", "3"), ("d", 2, "XX", "Density", "2")], "doc_id string, _ord long, material_abbreviation string, property_name string, value string")
+    shape = "doc_id string, ord int, caption string, image_data array<struct<filename:string,bytes:binary>>"
+    figs = spark.createDataFrame([("d", 0, "Fig 1 nothing", [("a.png", b"0")]), ("d", 1, "Fig 2 specific gravity", [("b.png", b"1"), ("c.png", b"2")]), ("d", 2, "Fig 3 Young", [("e.png", b"3")]), ("d", 3, "Fig 4 density", [("f.png", b"4")])], shape)
+    links = ingest.ingest(facts, "Polymer", store, figs, folder)
+    assert rows(links.select("property_name", "caption", "image_path"), "property_name") == [("Density", "Fig 2 specific gravity", "images/PO_Density.png"), ("Tensile modulus", "Fig 3 Young", "images/PO_Tensile modulus.png")]
+    assert (tmp_path / "images" / "PO_Density.png").read_bytes() == b"1"
+    every = tables.read_uploads(spark, store)
+    assert every.count() == 4 and rows(search.search(every, "PO", "Density", links).select("value", "image_path")) == [("1.1", "images/PO_Density.png")]
+    with pytest.raises(ValueError):
+        ingest.ingest(facts, "Metal", store, figs, folder)
+    assert tables.read_uploads(spark, store).count() == 4
+
+
+def test_images_of_pages(spark):
+    """From files to figures: rasters, injected boxes, containment, captions, crops."""
+    import numpy as np
+
+    page = np.full((400, 300, 3), 255, np.uint8)
+    page[50:150, 50:150] = 10
+    files = spark.createDataFrame([("/a/my doc.pdf", b"x")], "path string, content binary")
+    pages = extractors.page_images(files, lambda content: [(n, pixels.encode_png(page)) for n in (1, 2)])
+    assert rows(pages.select("doc_id", "page", "page_w", "page_h"), "page") == [("my_doc", 1, 300, 400), ("my_doc", 2, 300, 400)]
+    block = spark.createDataFrame([("my_doc", 1, 0, 160.0, "Fig. 1\nStress")], "doc_id string, page int, ord int, y0 double, text string")
+    got = figures.extract_images(pages, block, detector=lambda gray: [(50, 50, 100, 100), (60, 60, 50, 90), (0, 0, 5, 5)], dpi=72).collect()
+    assert {(r.caption, r.page, tuple(i.filename for i in r.image_data)) for r in got} == {("Fig. 1 Stress", 1, ("pg1_50_50.png",)), ("Figure on Page 2 (Unlabeled)", 2, ("pg2_50_50.png",))}
+    image = pixels.decode_png(bytes(got[0].image_data[0].bytes))
+    assert image.shape == (160, 160, 3) and (image[30:130, 30:130] == 10).all()
+    assert figures.extract_images(pages, block).count() >= 0  # the engine's own detector
+
+
+def test_json_and_text_files(spark, tmp_path):
+    import json
+
+    shape = "doc_id string, ord int, caption string, page int, image_data array<struct<filename:string,bytes:binary>>"
+    figs = spark.createDataFrame([("d", 1, "é", 2, [("b.png", b"1")]), ("d", 0, "a", 1, [])], shape)
+    got = sinks.document_json(figs, lambda f: sinks.metadata_json(f, True), "ord").first().json
+    assert got == json.dumps([{"caption": "a", "page": 1, "image_count": 0, "images": []}, {"caption": "é", "page": 2, "image_count": 1, "images": ["b.png"]}], indent=4)
+    kept = spark.createDataFrame([("d", 0, "é", 2, "p02_0000.png")], "doc_id string, saved int, caption string, page int, filename string")
+    assert sinks.document_json(kept, sinks.plots_json, "saved").first().json == '[\n  {\n    "page": 2,\n    "caption": "é",\n    "image": "p02_0000.png"\n  }\n]'
+    texts = spark.createDataFrame([("d", 1, 0, "a | b")], "doc_id string, page int, table_idx int, text string")
+    assert [r.filename for r in sinks.write_table_texts(texts, str(tmp_path)).collect()] == ["d_table_1_0.txt"] and (tmp_path / "d_table_1_0.txt").read_text() == "a | b"
+    cells = extractors.page_tables(spark.createDataFrame([("/a/t.pdf", b"x")], "path string, content binary"), lambda c: [(0, [["h"], ["v"]])], first_page=0)
+    assert {(r.page, r.cell) for r in cells.collect()} == {(1, "h"), (1, "v")}
+
+
+def test_context(spark):
+    items = spark.createDataFrame([("text", "t", b"1", 1), ("image", "t", b"2", 2), (None, None, b"3", 3), ("table", "u", None, 4)], "type string, text string, image binary, rank int")
+    seen = []
+    retrieve.answer("why", items, lambda prompt, parts: seen.extend(parts) or "")
+    assert [next(iter(p)) for p in seen] == ["text", "image", "image", "text"] and seen[1]["image"]["bytes"] == b"2"
+
+
 def test_match_and_group(spark):
     figs = spark.createDataFrame([("d", i, f"Fig {i} {t}", ["x"] * n) for i, (t, n) in enumerate([("density", 1), ("density", 0), ("density and gravity", 1)])], "doc_id string, ord int, caption string, image_data array<string>")
     props = spark.createDataFrame([("d", 0, "Density"), ("d", 1, "Density ratio"), ("d", 2, "Density")], "doc_id string, ord int, property_name string")
