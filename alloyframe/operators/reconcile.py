@@ -62,7 +62,7 @@ def nearest_names(wanted: DataFrame, materials: DataFrame, vectorizer: Vectorize
     left = wanted.withColumn("_s", F.lower(strip(F.col("tpl_section")))).join(vectors.withColumnsRenamed({"name": "tpl_property", "vector": "_a"}), "tpl_property")
     right = materials.select("material_table", F.lower("section").alias("_t"), F.struct("property_name", "value", "unit", "english", "comments", "_ord").alias("found"), F.col("property_name").alias("_name"))
     right = right.join(vectors.withColumnsRenamed({"name": "_name", "vector": "_b"}), "_name").drop("_name")
-    same = left.where("_s is not null").join(right, (left["material_table"] == right["material_table"]) & (F.col("_s") == F.col("_t"))).drop(right["material_table"])
+    same = left.where("_s is not null").withColumn("_t", F.col("_s")).join(right, ["material_table", "_t"])
     anywhere = left.where("_s is null").join(right, "material_table")  # a template without sections takes names of any
     pairs = same.unionByName(anywhere)
     scored = pairs.withColumn("sim", cosine(F.col("_a"), F.col("_b")))
