@@ -17,6 +17,7 @@ BROADCAST_ROWS = 2_000_000
 #: Bytes of Arrow data that a Python worker handles at a time.
 SLICE_BYTES = 4 << 20
 
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there and survives lost executors."""
     spark = df.sparkSession

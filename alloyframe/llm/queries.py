@@ -142,11 +142,9 @@ tri AS (
     SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM words))
 ),
 rep AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM tri, (SELECT unnest([0, 1, 2]) AS k) WHERE times > 1 GROUP BY doc_id),
-content AS (SELECT doc_id, host, string_agg(norm, chr(10) ORDER BY i) AS content FROM lines GROUP BY doc_id, host),
-contents AS (SELECT d.host, coalesce(content, '') AS content, min(d.doc_id) AS doc_id FROM d LEFT JOIN content USING (doc_id) GROUP BY 1, 2),
-hosts AS (SELECT host, count(*) AS of FROM contents GROUP BY host),
+contents AS (SELECT host, text, min(doc_id) AS doc_id FROM d GROUP BY 1, 2),
 held AS (SELECT l.host, l.norm, count(DISTINCT c.doc_id) AS n, min(c.doc_id) AS first_doc FROM contents c JOIN lines l USING (doc_id) GROUP BY 1, 2),
-frequent AS (SELECT held.* FROM held JOIN hosts USING (host) WHERE n > 20 AND n * 500 > hosts.of),
+frequent AS (SELECT * FROM held WHERE n > 20),
 lost AS (SELECT l.doc_id, sum(l.n) AS lost_words FROM lines l JOIN frequent f ON l.host = f.host AND l.norm = f.norm WHERE l.doc_id != f.first_doc GROUP BY 1),
 every AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
