@@ -52,11 +52,13 @@ def nearest_caption(boxes: DataFrame, blocks: DataFrame, dpi: int = DPI) -> Data
 def grouped_figures(images: DataFrame) -> DataFrame:
     """(doc_id, caption, page, image_data, ord) from images (doc_id, page, ord, caption, filename, bytes).
 
-    ord is whatever orders a document's images. Images of one caption are one figure, in order, on the page of the last of them.
+    ord is whatever orders a document's images. Images of one caption are one figure, in order, on the page of the
+    last of them. Images without the column bytes, whose files are elsewhere, give figures of file names alone, so
+    that a caption with very many images stays small.
     """
-    return images.groupBy("doc_id", "caption").agg(
-        F.max_by("page", "ord").alias("page"), F.transform(F.sort_array(F.collect_list(F.struct("ord", "filename", "bytes"))), lambda i: F.struct(i["filename"].alias("filename"), i["bytes"].alias("bytes"))).alias("image_data"), F.min("ord").alias("ord")
-    )
+    held = [c for c in ("filename", "bytes") if c in images.columns]
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("ord", *held))), lambda i: F.struct(*(i[c].alias(c) for c in held)))
+    return images.groupBy("doc_id", "caption").agg(F.max_by("page", "ord").alias("page"), listed.alias("image_data"), F.min("ord").alias("ord"))
 
 
 def extract_figures(boxes: DataFrame, blocks: DataFrame) -> DataFrame:

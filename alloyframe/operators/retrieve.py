@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from alloyframe.functions.vectors import squared_distance
 from alloyframe.operators.order import numbered_by
 from alloyframe.plugins import Generator
 
 K = 5
-#: Query vectors that are broadcast at most; more are dealt over the partitions in blocks.
-MOST_QUERIES = 10_000
+#: Numbers in the query vectors of a block, 64 MB of them, and rows of results that are broadcast at most.
+MOST_NUMBERS, MOST_BROADCAST = 8_000_000, 500_000
+#: Items that are compared at a time, and numbers that this takes at most.
+BLOCK_ITEMS, BLOCK_NUMBERS = 512, 2_000_000
 
 
 def promote_header(cells: DataFrame) -> DataFrame:
@@ -52,30 +58,65 @@ def running_counts(items: DataFrame, kind: str = "type", order: str = "ord") ->
     return numbered_by(items, [kind], [order], "seen", 1)
 
 
+class _Nearest:
+    """The k nearest items of each query so far, by squared distance and then id, in double precision."""
+
+    def __init__(self, asked: np.ndarray, k: int):
+        self.asked, self.k = asked, k
+        self.d2 = np.full((len(asked), 0), np.inf)
+        self.ids = np.zeros((len(asked), 0), np.int64)
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        step = max(1, BLOCK_NUMBERS // max(1, vectors.size))
+        d2 = np.concatenate([((vectors[None] - self.asked[a : a + step, None]) ** 2).sum(axis=2) for a in range(0, len(self.asked), step)])
+        d2, own = np.concatenate([self.d2, d2], axis=1), np.concatenate([self.ids, np.broadcast_to(ids, d2.shape)], axis=1)
+        if d2.shape[1] > self.k:  # all that may be among the first k, ties included, before they are put in order
+            edge = np.partition(d2, self.k - 1, axis=1)[:, self.k - 1 : self.k]
+            d2 = np.where(d2 <= edge, d2, np.inf)
+        order = np.lexsort((own, d2), axis=1)[:, : self.k]
+        self.d2, self.ids = np.take_along_axis(d2, order, axis=1), np.take_along_axis(own, order, axis=1)
+
+
+def _nearest_in(items: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(query_id, id, d2): what each partition of items has nearest to queries, which are gathered."""
+    known = queries.select("query_id", "embedding").toPandas()
+    if not len(known):
+        return items.sparkSession.createDataFrame([], "query_id long, id long, d2 double")
+    asked = items.sparkSession.sparkContext.broadcast((known["query_id"].to_numpy(np.int64), np.array(known["embedding"].tolist(), np.float64)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, vectors = asked.value
+        best = _Nearest(vectors, k)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK_ITEMS):
+                part = batch.slice(at, BLOCK_ITEMS)
+                flat = part.column("embedding").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                best.add(part.column("id").to_numpy(zero_copy_only=False), flat.reshape(part.num_rows, -1))
+        there = best.ids.shape[1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names, there)), pa.array(best.ids.ravel()), pa.array(best.d2.ravel())], names=["query_id", "id", "d2"])
+
+    return items.select("id", "embedding").where("embedding is not null").mapInArrow(run, "query_id long, id long, d2 double")
+
+
 def nearest(queries: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
-    """(query_id, id, d2, rank) of the k nearest items of each query by squared distance, exactly.
+    """(query_id, id, d2, rank) of the k nearest items of each query by squared distance, exactly; ids are longs.
 
-    queries: query_id, embedding; items: id, embedding. All items are compared with all queries of a block; each
-    partition keeps k for a query, so that what is shuffled grows with the queries and not with the items.
+    queries: query_id, embedding; items: id, embedding. Every item is compared with every query of a block, block by
+    block in numpy, and a partition gives k rows for each query, so that what is shuffled does not grow with its rows.
+    A block of queries is gathered and sent to all; there are as many scans of the items as blocks.
     """
-    n = queries.count()
-    if n > MOST_QUERIES:
-        blocks = -(-n // MOST_QUERIES)
-        parts = [queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b) for b in range(blocks)]
-        out = nearest(parts[0], items, k)
-        for more in parts[1:]:
-            out = out.unionAll(nearest(more, items, k))
-        return out
-    pairs = items.crossJoin(F.broadcast(queries.select("query_id", F.col("embedding").alias("_q"))))
-    scored = pairs.select("query_id", "id", squared_distance(F.col("embedding"), F.col("_q")).alias("d2"))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy("d2", "id"))  # planned with a limit for each partition
-    return scored.withColumn("rank", rank).where(F.col("rank") <= k)
+    n = queries.agg(F.sum(F.size("embedding"))).first()[0] or 0
+    blocks = max(1, -(-n // MOST_NUMBERS))
+    parts = [queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b) if blocks > 1 else queries for b in range(blocks)]
+    found = reduce(DataFrame.unionAll, [_nearest_in(items, p, k) for p in parts])
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy("d2", "id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def retrieve(query: DataFrame, items: DataFrame, k: int = K) -> DataFrame:
     """The items nearest to a query, without their embeddings, in order."""
     found = nearest(query, items, k)
-    if query.count() <= MOST_QUERIES:  # k rows for each
+    if query.count() <= MOST_BROADCAST // k:  # k rows of three numbers for each
         found = F.broadcast(found)
     return items.drop("embedding").join(found, "id").orderBy("query_id", "rank")
 

@@ -11,7 +11,7 @@ _own: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir).
+    """A new path in the folder that driver and executors share (spark.checkpoint.dir), deleted when the driver ends.
 
     Where the setting is absent and all work is in this process, as in tests, a temporary folder is used and set as
     the session's checkpoint folder. Elsewhere its absence is an error, since other machines could not read it.
@@ -25,4 +25,7 @@ def scratch(spark: SparkSession, name: str) -> str:
             _own[app] = "file://" + tempfile.mkdtemp(prefix="alloyframe-")
             spark.sparkContext.setCheckpointDir(_own[app])
         base = _own[app]
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return path

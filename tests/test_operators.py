@@ -145,6 +145,21 @@ def test_json_and_text_files(spark, tmp_path):
     assert {(r.page, r.cell) for r in cells.collect()} == {(1, "h"), (1, "v")}
 
 
+def test_nearest_with_ties_and_blocks(spark, monkeypatch):
+    import numpy as np
+
+    r = np.random.default_rng(4)
+    vectors = r.integers(0, 3, (300, 4)).astype(float)  # many equal distances
+    items = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)] + [(999, None)], "id long, embedding array<float>").repartition(6)
+    asks = spark.createDataFrame([(i, vectors[i].tolist()) for i in range(0, 300, 50)], "query_id long, embedding array<float>")
+    want = sorted((q, i, float(((vectors[q] - vectors[i]) ** 2).sum()), n + 1) for q in range(0, 300, 50) for n, i in enumerate(sorted(range(300), key=lambda i: (((vectors[q] - vectors[i]) ** 2).sum(), i))[:5]))
+    assert rows(retrieve.nearest(asks, items), "query_id", "id") == sorted(want, key=lambda x: x[:2])
+    monkeypatch.setattr(retrieve, "MOST_NUMBERS", 8)
+    monkeypatch.setattr(retrieve, "BLOCK_ITEMS", 7)
+    assert rows(retrieve.nearest(asks, items), "query_id", "id") == sorted(want, key=lambda x: x[:2])
+    assert retrieve.nearest(asks.limit(0), items).count() == 0 and retrieve.nearest(asks, items.limit(0)).count() == 0
+
+
 def test_context(spark):
     items = spark.createDataFrame([("text", "t", b"1", 1), ("image", "t", b"2", 2), (None, None, b"3", 3), ("table", "u", None, 4)], "type string, text string, image binary, rank int")
     seen = []
