@@ -16,8 +16,17 @@ def envelope_text(answer: Column) -> Column:
 
 def extraction(text: Column) -> Column:
     """A parsed extraction document; null where the text is no JSON object."""
-    parsed = F.from_json(text, f"{EXTRACTION}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    return F.when(text.isNotNull() & parsed["_bad"].isNull(), parsed)
+    return sound(parsed(text))
+
+
+def parsed(text: Column) -> Column:
+    """An extraction document with _bad, which is the text where it is no JSON object."""
+    return F.from_json(text, f"{EXTRACTION}, _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+
+
+def sound(doc: Column) -> Column:
+    """A parsed document; null where its text was no JSON object."""
+    return F.when(doc["_bad"].isNull(), doc)
 
 
 def figure_metadata(caption: Column, page: Column, images: Column, names: bool = False) -> Column:

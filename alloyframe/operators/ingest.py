@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from alloyframe.functions.json import envelope_text, extraction
+from alloyframe.functions.json import envelope_text, parsed, sound
 from alloyframe.functions.text import abbreviation, or_default
 from alloyframe.operators.figures import match_captions
 from alloyframe.schema import TAXONOMY, taxonomy
@@ -16,12 +16,22 @@ CLASSES = tuple(TAXONOMY)
 
 def parse_answers(answers: DataFrame) -> DataFrame:
     """(doc_id, doc) from (doc_id, answer): the document in a model's answer, null where there is none."""
-    return answers.select("doc_id", extraction(envelope_text(F.col("answer"))).alias("doc"))
+    # a projection for each step, which the optimizer leaves apart, so that no text is parsed twice
+    texts = answers.select("doc_id", envelope_text(F.col("answer")).alias("text"))
+    return texts.select("doc_id", parsed(F.col("text")).alias("parsed")).select("doc_id", sound(F.col("parsed")).alias("doc"))
+
+
+def _properties(docs: DataFrame) -> DataFrame:
+    """A row for each property: doc_id, doc, _ord, p.
+
+    The outer form keeps a filter on the array's size, which would parse each document once more, from being put below.
+    """
+    return docs.select("doc_id", "doc", F.posexplode_outer("doc.mechanical_properties").alias("_ord", "p")).where("_ord is not null")
 
 
 def extract_rows(docs: DataFrame) -> DataFrame:
     """A row for each property of (doc_id, doc); what is missing or empty gets its default. No properties: no rows."""
-    items = docs.select("doc_id", "doc", F.posexplode("doc.mechanical_properties").alias("_ord", "p"))
+    items = _properties(docs)
     name = or_default(F.col("doc.material_name"), "")
     return items.select(
         "doc_id", F.col("_ord").cast("long").alias("_ord"), name.alias("material_name"),
@@ -34,7 +44,7 @@ def extract_rows(docs: DataFrame) -> DataFrame:
 
 def extract_rows_plain(docs: DataFrame) -> DataFrame:
     """The older form: no defaults, and neither grade nor manufacturer."""
-    items = docs.select("doc_id", "doc", F.posexplode("doc.mechanical_properties").alias("_ord", "p"))
+    items = _properties(docs)
     return items.select("doc_id", F.col("_ord").cast("long").alias("_ord"), "doc.material_name", "doc.material_abbreviation", "p.section", "p.property_name", "p.value", "p.unit", "p.english", "p.test_condition", "p.comments")
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from alloyframe import plugins, schema
 from alloyframe.functions import boxes, pixels, text
-from alloyframe.functions.json import figure_metadata
+from alloyframe.functions.json import extraction, figure_metadata
 from alloyframe.functions.vectors import cosine, squared_distance
 from alloyframe.operators import figures, ingest, reconcile, retrieve, search
 from alloyframe.plans.queries import _FACTS, _FORMS, _TEMPLATE, _facts, _forms
@@ -197,7 +197,7 @@ def explode_plain(spark, sf_dir):
     """The older row builder, which puts no defaults in."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct("l_linenumber", F.col("l_returnflag").alias("property_name"), F.when(F.col("l_linenumber") > 2, "").otherwise(F.col("l_linenumber").cast("string")).alias("value")).alias("x"))
     docs = lines.groupBy("l_orderkey").agg(F.to_json(F.struct(F.lit("order").alias("material_name"), F.sort_array(F.collect_list("x")).alias("mechanical_properties"))).alias("text"))
-    parsed = docs.select(F.col("l_orderkey").alias("doc_id"), ingest.extraction(F.col("text")).alias("doc"))
+    parsed = docs.select(F.col("l_orderkey").alias("doc_id"), extraction(F.col("text")).alias("doc"))
     return ingest.extract_rows_plain(parsed).select(F.col("doc_id").alias("o_orderkey"), "_ord", "material_name", "property_name", "value")
 
 
