@@ -183,15 +183,16 @@ class _Words(dict):
 class Codec:
     """Encoding of whole texts by a vocabulary file and the pattern that cuts a text into pieces.
 
-    No piece holds a space after another character, unless both are white space. So a text is cut before each
-    single space between words, and the ids of a word with its space are remembered; only new words and places with
-    more white space go through the pattern.
+    By the public pattern no piece holds a space after another character, unless both are white space. So a text is
+    cut before each single space between words, and the ids of a word with its space are remembered; only new words
+    and places with more white space go through the pattern. By any other pattern whole texts go through it.
     """
 
     def __init__(self, vocabulary: str, pattern: str):
         self.bpe = PrefixBPE(read_ranks(vocabulary))
         self.find = regex.compile(pattern).findall
         self.words = _Words(self.whole)
+        self.cuts = pattern == public_tokenizers.PATTERN
         self.tokens = [self.bpe.bytes_of.get(i, b"") for i in range(max(self.bpe.bytes_of, default=-1) + 1)]
 
     def whole(self, text: str) -> bytes:
@@ -203,6 +204,8 @@ class Codec:
         return ids.tobytes()
 
     def encode(self, text: str) -> np.ndarray:
+        if not self.cuts:
+            return np.frombuffer(self.whole(text), "<u4")
         first, *rest = text.split(" ")
         packed = list(map(self.words.__getitem__, rest))
         if b"" not in packed and not first[-1:].isspace() and first:

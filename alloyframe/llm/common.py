@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from alloyframe.sources.scratch import scratch
+from alloyframe.sources.scratch import drop_path, scratch
 
 #: Rows of a key-only table that may be broadcast; 16 bytes each, so 32 MB at most.
 BROADCAST_ROWS = 2_000_000
@@ -18,20 +18,19 @@ BROADCAST_ROWS = 2_000_000
 SLICE_BYTES = 4 << 20
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there and survives lost executors."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
+def stage(df: DataFrame, name: str, at: str | None = None) -> DataFrame:
+    """Write a table to the shared folder, or to a path there, and read it back: lineage ends there and survives lost
+    executors. The write's own shuffle files go when it is done, since nothing reads them again."""
+    spark, clean = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = at or scratch(spark, name), spark.conf.get(clean)
+    spark.conf.set(clean, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(clean, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder."""
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
-
-
 def drop_staged(*tables: DataFrame) -> None:
     """Delete staged tables that no later plan reads."""
     for df in tables:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alloyframe.llm.common import kept_rows, map_slices, maybe_broadcast, row_key, stage, utf8
+from alloyframe.sources.scratch import scratch, temporary
 
 _MARKS = bytes(b" "[0] if chr(i) in " \t\n\r\x0b\x0c!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else i for i in range(256))
 #: Words whose hash a worker remembers.
@@ -193,6 +194,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Alignment = Alignme
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, how: Alignment = Alignment()) -> DataFrame:
     """The rows of docs that hold no item; rows without a doc_id are judged by their text like all others."""
-    found = contaminated(docs.select(row_key().alias("doc_id"), "text"), benchmark, how)
-    gone = stage(found.select(F.col("doc_id").alias("key")).distinct(), "contaminated")
+    place = scratch(docs.sparkSession, "contaminated")
+    with temporary(docs.sparkSession):
+        found = contaminated(docs.select(row_key().alias("doc_id"), "text"), benchmark, how)
+        gone = stage(found.select(F.col("doc_id").alias("key")).distinct(), "contaminated", place)
     return kept_rows(docs, gone).select("row.*")

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from alloyframe.llm.common import components, kept_rows, map_slices, maybe_broadcast, row_key, stage, utf8
+from alloyframe.sources.scratch import scratch, temporary
 
 SEED, SHINGLE, BITS = 42, 4, 4
 #: First bit and width of each segment.
@@ -217,6 +218,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Rows without a doc_id are named by their text and come after all others; of any name are further columns.
     """
-    own = near_duplicates(docs.select(row_key().alias("doc_id"), "text"))
-    gone = stage(own.where("doc_id != component_id").select(F.col("doc_id").alias("key")).distinct(), "near-copies")
+    place = scratch(docs.sparkSession, "near-copies")
+    with temporary(docs.sparkSession):
+        own = near_duplicates(docs.select(row_key().alias("doc_id"), "text"))
+        gone = stage(own.where("doc_id != component_id").select(F.col("doc_id").alias("key")).distinct(), "near-copies", place)
     return kept_rows(docs, gone).select("row.*")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from alloyframe.llm.common import kept_rows, map_slices, maybe_broadcast, row_key, stage, utf8
+from alloyframe.sources.scratch import scratch, temporary
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -141,13 +142,14 @@ def keep_documents(docs: DataFrame, host: str = "source", rules: LineRules = Lin
     A line stays in the first of its documents. Rows that share a doc_id stand or fall together, and rows without one
     that share a text; these come after all others. Rows that lose nothing are unchanged.
     """
-    judged, lines = _judged(docs, host, rules)
-    gone = stage(judged.where("not kept").select("key").distinct(), "rejected")
-    # which lines a row loses follows from its host and key, so that rows which share them may share the list
-    cut = stage(lines.join(maybe_broadcast(gone), "key", "left_anti").groupBy("host", "key").agg(F.collect_set("line").alias("cut")), "cut")
-    small = (cut.agg(F.sum(F.size("cut") + 1)).first()[0] or 0) <= CUT_LINES
-    kept = kept_rows(docs, gone).withColumn("host", F.coalesce(F.col("row").getField(host).cast("string"), F.lit("")))
-    both = stage(kept.join(F.broadcast(cut) if small else cut, ["host", "key"], "left").select("row", "cut"), "kept")
+    place = scratch(docs.sparkSession, "kept")
+    with temporary(docs.sparkSession):
+        judged, lines = _judged(docs, host, rules)
+        gone = stage(judged.where("not kept").select("key").distinct(), "rejected")
+        # which lines a row loses follows from its host and key, so that rows which share them may share the list
+        cut = stage(lines.join(maybe_broadcast(gone), "key", "left_anti").groupBy("host", "key").agg(F.collect_set("line").alias("cut")), "cut")
+        kept = kept_rows(docs, gone).withColumn("host", F.coalesce(F.col("row").getField(host).cast("string"), F.lit("")))
+        both = stage(kept.join(maybe_broadcast(cut, CUT_LINES, "cut"), ["host", "key"], "left").select("row", "cut"), "kept", place)
     same = both.where("cut is null").select("row.*")
     text = F.col("row").getField("text")
     less = map_slices(both.where("cut is not null").select("row", text.alias("text"), "cut"), _cut, StructType([StructField("row", docs.schema), StructField("text", StringType())]))

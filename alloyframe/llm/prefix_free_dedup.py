@@ -42,7 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alloyframe.llm.common import drop_path, drop_staged, keep_freed_memory, scratch, slices, stage
+from alloyframe.llm.common import drop_staged, keep_freed_memory, slices, stage
+from alloyframe.sources.scratch import drop_path, scratch
 
 LEAST, GRAM = 50, 20
 #: Bytes of a phrase on either side of its trigger, at most.
@@ -576,7 +577,8 @@ class Corpus:
         self.path = scratch(self.spark, "slices")
         size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
         self.bits = max(1, min(MOST_BITS, int(size // BUCKET).bit_length()))
-        tables = max(self.spark.sparkContext.defaultParallelism, min(100_000, int(size // TASK) + 1))
+        # fewer buckets than shuffle partitions would make every join deal the slices out again
+        tables = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, int(size // TASK) + 1))
         pack(docs, self.bits).write.option("path", self.path).option("compression", "zstd").bucketBy(tables, "slice").saveAsTable(self.name)
         self.slices = self.spark.table(self.name)
         self.rest = docs.drop("text").schema

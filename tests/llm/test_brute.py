@@ -2,9 +2,13 @@
 
 import hashlib
 import io
+import math
 import random
+import re
+import string
 import struct
 import zipfile
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -23,18 +27,23 @@ def texts():
     return dict(duckdb.connect().execute(f"SELECT doc_id, coalesce(text, '') FROM '{DATA}/documents.parquet'").fetchall())
 
 
-def plain_repeats(rows):
+def plain_rest(rows):
+    """What is left of each document's bytes, and which bytes go."""
     first, out = {}, {}
     for i, data in sorted(rows):
         gone = bytearray(len(data))
         for k in range(len(data) - 49):
             if first.setdefault(data[k : k + 50], i) < i:
                 gone[k : k + 50] = b"\1" * 50
-        kept = bytes(x for x, g in zip(data, gone, strict=True) if not g)
-        out[i] = (len(data), sum(gone), sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone)), hashlib.sha256(kept).hexdigest())
+        out[i] = bytes(x for x, g in zip(data, gone, strict=True) if not g), gone
     return out
 
 
+def plain_repeats(rows):
+    spans = lambda gone: sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+    return {i: (len(gone), sum(gone), spans(gone), hashlib.sha256(kept).hexdigest()) for i, (kept, gone) in plain_rest(rows).items()}
+
+
 def test_repeats_of_documents(spark):
     want = plain_repeats([(i, t.encode()) for i, t in texts().items()])
     docs = table(spark, DATA, "documents").select("doc_id", "text").repartition(7)  # a slice for each partition
@@ -301,6 +310,59 @@ def test_mixture_of_two(spark):
     assert set(got[1]) == {"en", "de"} and all(0.25 < v < 0.75 for v in got[1].values()) and max(got[2], key=got[2].get) == "en" and got[2]["en"] > 0.85
 
 
+def test_mixtures_against_plain_estimation(spark):
+    """Proportions and sets by loops over words and languages, in double precision."""
+    r = random.Random(12)
+    docs = table(spark, DATA, "documents")
+    model = language_mixture.train(docs)
+    own = [x for x in texts().values() if len(x) > 300][:12]
+    cases = own[:4] + [f"{own[4][:200]} {own[5][:300]}", f"{own[6][:150]} {own[7][:150]} {own[8][:400]}", "one", "a b"] + [" ".join(r.sample(own[9].split() + own[10].split(), 30))]
+    share, count = model.infer(cases, slice_of=500)
+    for text, got, n in zip(cases, share, count, strict=True):
+        scores, _ = model.word_scores([text])
+        assert n == len(scores)
+        like = [[math.exp(float(x) - float(max(w))) for x in w] for w in scores]
+
+        def estimate(start):
+            for _ in range(language_mixture.ROUNDS):
+                parts = [[p * x for p, x in zip(start, w, strict=True)] for w in like]  # noqa: B023
+                start = [sum(w[j] / (sum(w) + 1e-30) for w in parts) / len(parts) for j in range(len(start))]
+            return start, sum(math.log(sum(p * x for p, x in zip(start, w, strict=True)) + 1e-30) for w in like)  # noqa: B023
+
+        k = len(model.names)
+        alone = [sum(math.log(w[j] + 1e-300) for w in like) for j in range(k)]
+        best, value = [float(j == max(range(k), key=alone.__getitem__)) for j in range(k)], max(alone)
+        full, _ = estimate([1 / k] * k)
+        order = sorted(range(k), key=lambda j: -full[j])
+        penalty = language_mixture.PENALTY * 0.5 * math.log(max(n, 2))
+        for size in range(2, k + 1):
+            if -penalty * (size - 1) <= value or full[order[size - 1]] * n <= 0.5:
+                break
+            start = [full[j] + 1e-3 if j in order[:size] else 0 for j in range(k)]
+            found, logs = estimate([x / sum(start) for x in start])
+            if logs - penalty * (size - 1) > value:
+                best, value = found, logs - penalty * (size - 1)
+        assert np.abs(np.array(best) - got).max() < 2e-3, text[:40]
+
+
+def test_network_against_loops(monkeypatch):
+    r = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(40)]
+    rows = toxicity_cnn.WordRows()
+    cut = [rows.of(" ".join(r.choice(words, n)).encode()) for n in (0, 1, 2, 3, 17, 60)]
+    m = toxicity_cnn.fit([cut[4], cut[5], cut[3], cut[4]] * 8, np.array([0, 1, 0, 1] * 8), epochs=1)
+    monkeypatch.setattr(toxicity_cnn, "BLOCK", 7)
+    for t in cut:
+        x = [m.table[w >> toxicity_cnn.SHIFT] + m.table[w & toxicity_cnn.STEMS] for w in t]
+        total = float(m.out_bias)
+        for i, (span, w) in enumerate(zip(toxicity_cnn.SPANS, m.filters, strict=True)):
+            for f in range(toxicity_cnn.FILTERS):
+                c = i * toxicity_cnn.FILTERS + f
+                values = [sum(float(x[p + k] @ w[k][:, f]) for k in range(span)) + float(m.bias[c]) for p in range(len(x) - span + 1)]
+                total += max([0.0, *values]) * float(m.out[c])
+        assert abs(m.logit(t) - total) < 1e-3
+
+
 def test_toxicity_learns(spark):
     r = random.Random(6)
     vocabulary = [f"w{i}" for i in range(300)]
@@ -388,19 +450,61 @@ def test_packages_of_other_writers(spark, tmp_path):
     assert sorted(got, key=repr) == sorted(one * 6, key=repr)
 
 
+def plain_quality(rows):
+    """The texts that the quality rules keep, less frequent lines; rows are (doc_id, text, host)."""
+    space = "[ \\t-\\r]+"
+    cut = lambda t: [w for w in re.split(space, t) if w]
+    norm = lambda line: re.sub("[0-9]", "0", " ".join(cut(line.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase)))))
+    holders = {}
+    for host, text in {(h, t) for _, t, h in rows}:
+        first = min(i for i, t, h in rows if (h, t) == (host, text))
+        for line in {norm(x) for x in text.split("\n") if cut(x)}:
+            holders.setdefault((host, line), []).append(first)
+    out = {}
+    for i, text, host in rows:
+        words = cut(text)
+        threes = Counter(zip(words, words[1:], words[2:], strict=False))
+        twice = {k + j for k in range(len(words) - 2) if threes[tuple(words[k : k + 3])] > 1 for j in range(3)}
+        gone = [x for x in text.split("\n") if cut(x) and len(holders[host, norm(x)]) > 20 and min(holders[host, norm(x)]) != i]
+        lost = sum(len(cut(x)) for x in gone)
+        if len(words) >= 50 and 2 * len(twice) <= len(words) and 2 * lost <= len(words):
+            out[i] = "\n".join(x for x in text.split("\n") if x not in gone) if gone else text
+    return out
+
+
 def test_pipeline(spark):
-    """Each stage against what its operator is tested for, on the rows that the stage before it kept."""
-    docs = table(spark, DATA, "documents")
+    """The whole pipeline against plain versions of its stages, one after the other."""
+    rows = duckdb.connect().execute(f"SELECT doc_id, coalesce(text, ''), coalesce(source, '') FROM '{DATA}/documents.parquet'").fetchall()
+    # a line in many documents of a host, so that lines are cut and a document is depleted
+    more = [(1000 + i, " ".join(f"{a}{b}" for a in "abcdefghij"[: 10 if i else 1] for b in f"{chr(97 + i)}xyzklmno") + "\nThe Same  line 7 in all of them", "many") for i in range(24)]
+    rows = [(i, t, s, "en", len(t)) for i, t, s in rows + more]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long").repartition(4)
     kept = docs
     for name, function in corpus_pipeline.STAGES[:-1]:
         kept = function(spark, kept, DATA).cache()
         assert kept.columns == docs.columns, name
-    own = {r.doc_id: r.text for r in kept.collect()}
-    enc = encoding()
-    last = corpus_pipeline.STAGES[-1][1](spark, kept, DATA).collect()
-    assert {r.doc_id: r.n_tokens for r in last} == {i: len(enc.encode_ordinary(t)) for i, t in own.items()}
-    assert {r.doc_id for r in corpus_pipeline.run(spark, DATA).collect()} == set(own)
     assert kept.where(F.length("text") != F.col("n_chars")).count() == 0
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in corpus_pipeline.STAGES[-1][1](spark, kept, DATA).collect()}
+
+    own = plain_quality([r[:3] for r in rows])
+    assert any("Same  line" not in own[i] for i in own if i >= 1000) and len(own) < len(rows)
+    ids = sorted(own)
+    first = plain_components(ids, np.array([plain_fingerprint(own[i]) for i in ids], np.uint64))
+    own = {i: own[i] for i in ids if first[i] == i}
+    rest = plain_rest([(i, t.encode()) for i, t in own.items()])
+    own = {i: left.decode("utf-8", "ignore") for i, (left, gone) in rest.items() if not all(gone) or not gone}
+    items = dict(duckdb.connect().execute(f"SELECT item_id, coalesce(text, '') FROM '{DATA}/benchmark.parquet'").fetchall())
+    dirty = {d for d, _ in plain_contaminated(own, items)}
+    enc, want = encoding(), {}
+    for i, t in own.items():
+        if i not in dirty:
+            tokens = enc.encode_ordinary(t)
+            want[i] = len(tokens), hashlib.sha256(np.array(tokens, "<u4").tobytes()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()
+    assert got == want
+
+
+def test_pipeline_from_tables(spark):
+    assert corpus_pipeline.run(spark, DATA).count() > 20
 
 
 def answered_in_memory(rows, n_slices, hot):
