@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _own: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -28,4 +31,25 @@ def scratch(spark: SparkSession, name: str) -> str:
     path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(there)
+    if _scopes:
+        _scopes[-1].append(path)
     return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Folders whose paths are made within are deleted at its end; what is read later needs a path from outside."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            drop_path(spark, path)

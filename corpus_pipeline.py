@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from alloyframe.llm import bpe_prefix, decontamination, golay_simhash, line_frequency, prefix_free_dedup
 from alloyframe.llm.common import stage, table
+from alloyframe.sources.scratch import drop_path, scratch, temporary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,10 +56,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder before the next."""
-    docs = table(spark, sf_dir, "documents")
-    for k, (_, function) in enumerate(STAGES):
-        docs = function(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stage(docs, f"stage-{k}")
-    return docs
+    """All stages over documents, each written to the shared folder before the next; what a stage left there goes then."""
+    docs, last = table(spark, sf_dir, "documents"), None
+    for k, (_, function) in enumerate(STAGES[:-1]):
+        place = scratch(spark, f"stage-{k}")
+        with temporary(spark):
+            docs = stage(function(spark, docs, sf_dir), f"stage-{k}", place)
+        if last:
+            drop_path(spark, last)
+        last = place
+    return STAGES[-1][1](spark, docs, sf_dir)
