@@ -234,7 +234,7 @@ def test_contamination_of_documents(spark):
     assert got == plain_contaminated(texts(), items) and len(got) >= 3
 
 
-def test_contamination_by_edits(spark):
+def test_contamination_by_edits(spark, monkeypatch):
     """Random edits at several rates, and items that share a phrase: what is due and has a seed is found."""
     r = random.Random(9)
     vocabulary = ["".join(r.choice("aeioulnrst") for _ in range(r.randint(2, 7))) for _ in range(500)]
@@ -252,6 +252,10 @@ def test_contamination_by_edits(spark):
     bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
     got = {(x.doc_id, x.item_id): x.score for x in decontamination.contaminated(rows, bench).collect()}
     assert got == plain_contaminated(docs, {i: " ".join(w) for i, w in items.items()})
+    monkeypatch.setattr(decontamination, "MOST_WORDS", 0)  # more items than every worker could have, two of them equal
+    more = bench.unionAll(spark.createDataFrame([(77, " ".join(items[3]))], "item_id long, text string"))
+    again = {(x.doc_id, x.item_id): x.score for x in decontamination.contaminated(rows, more).collect()}
+    assert again == got | {(d, 77): score for (d, i), score in got.items() if i == 3}
     found = {rate: np.mean([(d, d % 100) in got for d in docs if rate_of[d] == rate]) for rate in (0.0, 0.1, 0.2, 0.3)}
     assert found[0.0] == found[0.1] == 1 and found[0.2] >= 0.9
 
