@@ -25,7 +25,7 @@ SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 DIGITS = bytes.maketrans(b"123456789", b"000000000")
 #: Lines in documents that lose them, of 16 bytes, up to which their table is broadcast.
-CUT_LINES = 500_000
+CUT_LINES = 100_000
 
 
 @dataclass(frozen=True)
@@ -142,17 +142,19 @@ def keep_documents(docs: DataFrame, host: str = "source", rules: LineRules = Lin
     A line stays in the first of its documents. Rows that share a doc_id stand or fall together, and rows without one
     that share a text; these come after all others. Rows that lose nothing are unchanged.
     """
-    place = scratch(docs.sparkSession, "kept")
+    places = [scratch(docs.sparkSession, name) for name in ("rejected", "cut")]
     with temporary(docs.sparkSession):
         judged, lines = _judged(docs, host, rules)
-        gone = stage(judged.where("not kept").select("key").distinct(), "rejected")
+        gone = stage(judged.where("not kept").select("key").distinct(), "rejected", places[0])
         # which lines a row loses follows from its host and key, so that rows which share them may share the list
-        cut = stage(lines.join(maybe_broadcast(gone), "key", "left_anti").groupBy("host", "key").agg(F.collect_set("line").alias("cut")), "cut")
-        kept = kept_rows(docs, gone).withColumn("host", F.coalesce(F.col("row").getField(host).cast("string"), F.lit("")))
-        both = stage(kept.join(maybe_broadcast(cut, CUT_LINES, "cut"), ["host", "key"], "left").select("row", "cut"), "kept", place)
-    same = both.where("cut is null").select("row.*")
+        cut = stage(lines.join(maybe_broadcast(gone), "key", "left_anti").groupBy("host", "key").agg(F.collect_set("line").alias("cut")), "cut", places[1])
+    kept = kept_rows(docs, gone).withColumn("host", F.coalesce(F.col("row").getField(host).cast("string"), F.lit("")))
+    # two passes over docs, so that no text is written for the few rows that change
+    small = maybe_broadcast(cut, CUT_LINES, "cut")
+    same = kept.join(small.drop("cut"), ["host", "key"], "left_anti").select("row.*")
+    both = kept.join(small, ["host", "key"])
     text = F.col("row").getField("text")
-    less = map_slices(both.where("cut is not null").select("row", text.alias("text"), "cut"), _cut, StructType([StructField("row", docs.schema), StructField("text", StringType())]))
+    less = map_slices(both.select("row", text.alias("text"), "cut"), _cut, StructType([StructField("row", docs.schema), StructField("text", StringType())]))
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
