@@ -24,7 +24,8 @@ Phrases are compared by their bytes, runs by 128-bit hashes. A trigger with very
 of all documents, with other text around it) would make one bucket's dictionary grow with the corpus: its strings go
 one by one instead, each distinct one of a slice once, to buckets of their own 128-bit hash.
 
-Texts are packed into slices of some MB that are parsed and written once, bucketed by slice. A slice sends its keys,
+Texts are packed into slices of some MB that are parsed and written once, with the places of their phrases, bucketed
+by slice. A slice sends its keys,
 sorted and packed, to buckets, a bucket answers for each key, and the answers join the slices where they are. A key
 that a third of the documents share is one entry of each slice, so no task grows with it.
 """
@@ -340,12 +341,12 @@ def _buckets(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(b), slice(edges[b], edges[b + 1])
 
 
-def first_messages(own: Slice, gram: np.ndarray, bits: int) -> Iterator[tuple[int, int, bytes]]:
+def first_messages(own: Slice, bits: int) -> Iterator[tuple[int, int, bytes]]:
     """(step, bucket, message) of what a slice asks first: of triggers (step 1) and of runs (step 4).
 
     A trigger is 48 bits of its hash, whether many documents have it, and seven bits of about how often it stands.
     """
-    r = Classes.of(gram, own.doc)
+    r = Classes.of(gram_hashes_at(own.words, own.at), own.doc)
     often = np.minimum(127, np.ceil(8 * np.log2(np.maximum(1, r.count)))).astype(np.uint8)
     marks = r.many.astype(np.uint8) << 7 | often
     for b, part in _buckets(r.keys, bits):
@@ -498,7 +499,6 @@ def answer_hashes(messages: list[bytes]) -> list[bytes]:
 
 
 # --- Spark -----------------------------------------------------------------------------------------------------
-MESSAGES = "array<struct<step:int,bucket:int,message:binary>>"
 #: A document without an id has no smaller one before it, and comes after all others.
 NO_ID = np.iinfo(np.int64).max
 
@@ -512,8 +512,8 @@ def _one(column: pa.ChunkedArray | pa.Array) -> pa.Array:
     return pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
 
 
-def pack(docs: DataFrame, bits: int) -> DataFrame:
-    """Slices of documents with their parse and their messages of step 1.
+def pack(docs: DataFrame) -> DataFrame:
+    """Slices of documents with their parse.
 
     rest holds the columns other than text in Arrow's stream format.
     """
@@ -524,10 +524,8 @@ def pack(docs: DataFrame, bits: int) -> DataFrame:
         texts = _one(t.column("text").cast(pa.large_binary())).fill_null(b"")
         raw = b"".join(x.as_py() for x in texts)
         sizes = np.fromiter((len(x) for x in texts.to_pylist()), np.int64, len(texts))
-        count, off, gram = parse(np.frombuffer(raw, np.uint8), sizes)
+        count, off, _ = parse(np.frombuffer(raw, np.uint8), sizes)
         ids = _one(t.column("doc_id")).to_pylist()
-        own = Slice(np.frombuffer(raw, np.uint8), sizes, _ids(ids), count, off)
-        sent = [{"step": s, "bucket": b, "message": m} for s, b, m in first_messages(own, gram, bits)]
         sink = pa.BufferOutputStream()
         rest = t.select(others)
         with pa.ipc.new_stream(sink, rest.schema) as w:
@@ -535,7 +533,6 @@ def pack(docs: DataFrame, bits: int) -> DataFrame:
         row = {
             "slice": pa.array([uuid.uuid4().int >> 65], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())), "sizes": pa.array([sizes.tolist()], pa.list_(pa.int32())), "body": pa.array([raw], pa.binary()),
             "count": pa.array([count.tobytes()], pa.binary()), "off": pa.array([off.tobytes()], pa.binary()), "rest": pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-            "sent": pa.array([sent], pa.list_(pa.struct([("step", pa.int32()), ("bucket", pa.int32()), ("message", pa.binary())]))),
         }
         return pa.RecordBatch.from_arrays(list(row.values()), names=list(row))
 
@@ -551,7 +548,7 @@ def pack(docs: DataFrame, bits: int) -> DataFrame:
         if held:
             yield packed(held)
 
-    return docs.mapInArrow(run, f"slice long, ids array<long>, sizes array<int>, body binary, count binary, off binary, rest binary, sent {MESSAGES}")
+    return docs.mapInArrow(run, "slice long, ids array<long>, sizes array<int>, body binary, count binary, off binary, rest binary")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -563,7 +560,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 def _read(row: dict, bits: int) -> tuple[Slice, Answers]:
     answers = Answers({}, bits)
-    for x in row["answers"] or []:
+    for x in row.get("answers") or []:
         answers.by_step.setdefault(x["step"], {})[x["bucket"]] = x["answer"]
     byte = lambda k: np.frombuffer(row[k], np.uint8)
     return Slice(byte("body"), np.array(row["sizes"], np.int64), _ids(row["ids"]), byte("count"), byte("off")), answers
@@ -579,7 +576,7 @@ class Corpus:
         self.bits = max(1, min(MOST_BITS, int(size // BUCKET).bit_length()))
         # fewer buckets than shuffle partitions would make every join deal the slices out again
         tables = max(int(self.spark.conf.get("spark.sql.shuffle.partitions")), min(100_000, int(size // TASK) + 1))
-        pack(docs, self.bits).write.option("path", self.path).option("compression", "zstd").bucketBy(tables, "slice").saveAsTable(self.name)
+        pack(docs).write.option("path", self.path).option("compression", "zstd").bucketBy(tables, "slice").saveAsTable(self.name)
         self.slices = self.spark.table(self.name)
         self.rest = docs.drop("text").schema
         self.told: list[DataFrame] = []
@@ -626,17 +623,19 @@ class Corpus:
     def ask(self) -> None:
         """What the slices ask, first from their parse and then from the answers."""
         bits = self.bits
-        first = self.slices.select("slice", F.explode("sent").alias("m"))
-        self.answered(first.select("m.step", "m.bucket", "slice", "m.message"))
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for row in _rows(batches):
-                own, answers = _read(row, bits)
-                got = list(own.asked(answers, bits))
-                cols = [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.int32()), pa.array([row["slice"]] * len(got), pa.int64()), pa.array([x[2] for x in got], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=["step", "bucket", "slice", "message"])
+        def asking(how):
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for row in _rows(batches):
+                    got = list(how(*_read(row, bits)))
+                    cols = [pa.array([x[0] for x in got], pa.int32()), pa.array([x[1] for x in got], pa.int32()), pa.array([row["slice"]] * len(got), pa.int64()), pa.array([x[2] for x in got], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(cols, names=["step", "bucket", "slice", "message"])
+
+            return run
 
-        self.answered(self.joined("ids", "sizes", "body", "count", "off").mapInArrow(run, "step int, bucket int, slice long, message binary"))
+        columns, message = ("ids", "sizes", "body", "count", "off"), "step int, bucket int, slice long, message binary"
+        self.answered(self.slices.select("slice", *columns).mapInArrow(asking(lambda own, _: first_messages(own, bits)), message))
+        self.answered(self.joined(*columns).mapInArrow(asking(lambda own, answers: own.asked(answers, bits)), message))
 
     def result(self, text: bool) -> DataFrame:
         """The other columns as one, n_bytes, n_removed, n_spans, kept_sha256, and if asked for the kept bytes as text."""

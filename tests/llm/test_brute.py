@@ -522,7 +522,7 @@ def answered_in_memory(rows, n_slices, hot):
         own.append(d.Slice(body, sizes, np.array([i for i, _ in g], np.int64), count, off))
         answers.append(d.Answers({}, bits))
         assert (d.gram_hashes_at(own[k].words, own[k].at) == gram).all()
-        for step, b, message in d.first_messages(own[k], gram, bits):
+        for step, b, message in d.first_messages(own[k], bits):
             sent.setdefault((step, b), []).append((k, message))
     how = {1: lambda m: d.answer_triggers(m, hot), 2: d.answer_phrases, 3: d.answer_hashes, 4: d.answer_hashes}
 
