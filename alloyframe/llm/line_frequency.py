@@ -24,8 +24,8 @@ from alloyframe.sources.scratch import scratch, temporary
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 DIGITS = bytes.maketrans(b"123456789", b"000000000")
-#: Lines in documents that lose them, of 16 bytes, up to which their table is broadcast.
-CUT_LINES = 100_000
+#: Frequent lines, of some 100 bytes on a worker, up to which every worker has their table.
+FREQUENT_LINES = 200_000
 
 
 @dataclass(frozen=True)
@@ -96,14 +96,17 @@ def _host(host: str) -> Column:
     return F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host")
 
 
-def _judged(docs: DataFrame, host: str, rules: LineRules) -> tuple[DataFrame, DataFrame]:
-    """The columns of line_rules and the key by row, and (host, key, line) of the lines that go."""
+def _judged(docs: DataFrame, host: str, rules: LineRules, place: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The columns of line_rules and the key by row, (host, key, line) of the lines that go, and the frequent lines.
+
+    The last are (host, line, first_key), staged at a place if one is given.
+    """
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", row_key().alias("key"), _host(host), "text")
     schema = "rid long, doc_id long, host string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, content binary, line array<binary>, line_words array<long>"
     seen = stage(map_slices(rows, _measure, schema), "lines")
     contents = seen.groupBy("host", "content").agg(F.min("key").alias("key"), F.first("line").alias("line"))
     held = contents.select("host", "key", F.explode("line").alias("line")).groupBy("host", "line").agg(F.count("*").alias("n"), F.min("key").alias("first_key"))
-    frequent = stage(held.where(F.col("n") > rules.max_contents).select("host", "line", "first_key"), "frequent")
+    frequent = stage(held.where(F.col("n") > rules.max_contents).select("host", "line", "first_key"), "frequent", place)
     places = seen.select("rid", "key", "host", F.explode(F.arrays_zip("line", "line_words")).alias("x")).select("rid", "key", "host", "x.line", "x.line_words")
     gone = places.join(maybe_broadcast(frequent, 200_000), ["host", "line"]).where("key != first_key")
     lost = gone.groupBy("rid").agg(F.sum("line_words").alias("lost_words"))
@@ -114,7 +117,7 @@ def _judged(docs: DataFrame, host: str, rules: LineRules) -> tuple[DataFrame, Da
         .withColumn("base_failed", bad)
         .withColumn("kept", ~bad & (100 * F.col("lost_words") <= rules.max_lost_percent * F.col("n_words")))
     )
-    return judged, gone.select("host", "key", "line")
+    return judged, gone.select("host", "key", "line"), frequent
 
 
 def line_rules(docs: DataFrame, host: str = "source", rules: LineRules = LineRules()) -> DataFrame:
@@ -127,13 +130,39 @@ def line_rules(docs: DataFrame, host: str = "source", rules: LineRules = LineRul
     return _judged(docs, host, rules)[0].drop("key")
 
 
-def _cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-    out = []
-    for text, lines in zip(utf8(batch.column("text")), batch.column("cut").to_pylist(), strict=True):
-        gone = set(lines)
-        out.append(b"\n".join(x for x in text.split(b"\n") if not x.split(None, 1) or xxhash.xxh3_128_digest(normal_line(x)) not in gone))
-    at = batch.schema.get_field_index("text")
-    return batch.set_column(at, "text", pa.array(out, pa.binary()).cast(pa.string())).drop_columns(["cut"])
+def _without(text: bytes, gone) -> bytes | None:
+    """A text without the lines whose digests are gone; null if it has none of them."""
+    lines = text.split(b"\n")
+    left = [x for x in lines if not x.split(None, 1) or not gone(xxhash.xxh3_128_digest(normal_line(x)))]
+    return b"\n".join(left) if len(left) < len(lines) else None
+
+
+def _cut_by_list(rows: DataFrame, cut: DataFrame, schema: StructType) -> DataFrame:
+    """(row, text) by the list of digests that each row loses, for more frequent lines than every worker could have."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        lists = [set(x or ()) for x in batch.column("cut").to_pylist()]
+        out = [_without(text, own.__contains__) for text, own in zip(utf8(batch.column("text")), lists, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary()).cast(pa.string())], names=["row", "text"])
+
+    return map_slices(rows.join(cut, ["host", "key"], "left").select("row", "text", "cut"), run, schema)
+
+
+def _cut_by_table(rows: DataFrame, frequent: DataFrame, schema: StructType) -> DataFrame:
+    """(row, text) by the table of frequent lines, which every worker has, so that no text is shuffled or written."""
+    table: dict[str, dict[bytes, int]] = {}
+    for r in frequent.collect():  # FREQUENT_LINES at most
+        table.setdefault(r["host"], {})[bytes(r["line"])] = r["first_key"]
+    shared = frequent.sparkSession.sparkContext.broadcast(table)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for host, key, text in zip(batch.column("host").to_pylist(), batch.column("key").to_pylist(), utf8(batch.column("text")), strict=True):
+            own = shared.value.get(host)
+            out.append(_without(text, lambda line: own.get(line, key) != key) if own else None)  # noqa: B023
+        return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary()).cast(pa.string())], names=["row", "text"])
+
+    return map_slices(rows.select("row", "text", "host", "key"), run, schema)
 
 
 def keep_documents(docs: DataFrame, host: str = "source", rules: LineRules = LineRules()) -> DataFrame:
@@ -142,20 +171,18 @@ def keep_documents(docs: DataFrame, host: str = "source", rules: LineRules = Lin
     A line stays in the first of its documents. Rows that share a doc_id stand or fall together, and rows without one
     that share a text; these come after all others. Rows that lose nothing are unchanged.
     """
-    places = [scratch(docs.sparkSession, name) for name in ("rejected", "cut")]
+    places = {name: scratch(docs.sparkSession, name) for name in ("rejected", "frequent", "cut")}
+    schema = StructType([StructField("row", docs.schema), StructField("text", StringType())])
     with temporary(docs.sparkSession):
-        judged, lines = _judged(docs, host, rules)
-        gone = stage(judged.where("not kept").select("key").distinct(), "rejected", places[0])
-        # which lines a row loses follows from its host and key, so that rows which share them may share the list
-        cut = stage(lines.join(maybe_broadcast(gone), "key", "left_anti").groupBy("host", "key").agg(F.collect_set("line").alias("cut")), "cut", places[1])
-    kept = kept_rows(docs, gone).withColumn("host", F.coalesce(F.col("row").getField(host).cast("string"), F.lit("")))
-    # two passes over docs, so that no text is written for the few rows that change
-    small = maybe_broadcast(cut, CUT_LINES, "cut")
-    same = kept.join(small.drop("cut"), ["host", "key"], "left_anti").select("row.*")
-    both = kept.join(small, ["host", "key"])
-    text = F.col("row").getField("text")
-    less = map_slices(both.select("row", text.alias("text"), "cut"), _cut, StructType([StructField("row", docs.schema), StructField("text", StringType())]))
-    new = {"text": F.col("text")}
+        judged, lines, frequent = _judged(docs, host, rules, places["frequent"])
+        gone = stage(judged.where("not kept").select("key").distinct(), "rejected", places["rejected"])
+        few = frequent.count() <= FREQUENT_LINES
+        if not few:  # which lines a row loses follows from its host and key, so that rows which share them may share the list
+            cut = stage(lines.join(maybe_broadcast(gone), "key", "left_anti").groupBy("host", "key").agg(F.collect_set("line").alias("cut")), "cut", places["cut"])
+    kept = kept_rows(docs, gone).withColumns({"host": F.coalesce(F.col("row").getField(host).cast("string"), F.lit("")), "text": F.col("row").getField("text")})
+    less = _cut_by_table(kept, frequent, schema) if few else _cut_by_list(kept, cut, schema)
+    own = lambda c: F.col("row").getField(c)
+    new = {"text": F.coalesce("text", own("text"))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
-    return same.unionByName(less.select(*(new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns)))
+        new["n_chars"] = F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(own("n_chars"))
+    return less.select(*(new.get(c, own(c)).alias(c) for c in docs.columns))

@@ -51,13 +51,15 @@ def test_frequent_lines(spark):
     assert all(r.kept for r in line_frequency.line_rules(few).collect())  # copies alone make no line frequent
 
 
-def test_frequent_lines_go(spark):
+def test_frequent_lines_go(spark, monkeypatch):
     name = lambda n: "".join(chr(97 + int(c)) for c in str(n))  # noqa: E731  digits would be normalised
     own = lambda i: [" ".join(f"w{name(i)}x{name(k)}x{name(j)}" for j in range(20)) for k in range(4)]
     rows = [(i, "\n".join([*own(i), "", f"Read  on, page {i:02}", "the end"]), "h", 5, None) for i in range(30)]
     rows += [(50, "\n".join([*own(50), "the end"]), "other", 5, "é"), (None, "\n".join([*own(60), "The End"]), "h", 5, None), (3, rows[3][1], "h", 5, "x"), (70, "the end", "h", 5, None), (71, None, "h", 5, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, `rid` string").repartition(3)
     got = sorted(map(tuple, line_frequency.keep_documents(docs).collect()), key=repr)
+    monkeypatch.setattr(line_frequency, "FREQUENT_LINES", 0)  # more lines than every worker could have
+    assert sorted(map(tuple, line_frequency.keep_documents(docs).collect()), key=repr) == got
     less = lambda i: "\n".join([*own(i), ""])
     want = [rows[0], *((i, less(i), "h", len(less(i)), None) for i in range(1, 30)), rows[30], (None, "\n".join(own(60)), "h", len("\n".join(own(60))), None), (3, less(3), "h", len(less(3)), "x")]
     assert got == sorted(want, key=repr)
